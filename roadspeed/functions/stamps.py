@@ -56,8 +56,15 @@ def pad_time(c: Column | str) -> Column:
 
 
 def parse_stamp(day: Column | str, time: Column | str) -> Column:
-    """``yyyyMMdd`` and ``HHmm`` to a timestamp; an impossible time is NULL."""
-    return F.try_to_timestamp(F.concat(_col(day), _col(time)), F.lit("yyyyMMddHHmm"))
+    """``yyyyMMdd`` and ``HHmm`` to a timestamp; an impossible time is NULL.
+
+    Spelled out as ISO text and cast, which is several times faster than a pattern.
+    """
+    day, time = _col(day), _col(time)
+    date = F.concat_ws("-", day.substr(1, 4), day.substr(5, 2), day.substr(7, 2))
+    clock = F.concat_ws(":", time.substr(1, 2), time.substr(3, 2))
+    digits = F.length(day) + F.length(time) == 12
+    return F.when(digits, F.concat(date, F.lit(" "), clock).try_cast("timestamp"))
 
 
 def parse_mixed_ts(c: Column | str, formats: tuple[str, ...] = MIXED_FORMATS) -> Column:
@@ -66,6 +73,12 @@ def parse_mixed_ts(c: Column | str, formats: tuple[str, ...] = MIXED_FORMATS) ->
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
+def floor_div(c: Column | str, n: int) -> Column:
+    """Whole-number division that rounds down, exact for any epoch (a double quotient is not)."""
+    c = _col(c)
+    return F.call_function("div", c - F.pmod(c, F.lit(n)), F.lit(n))
+
+
 def slot_start(ts: Column | str, step: str | timedelta = "5 minutes") -> Column:
     """Start of the tumbling slot holding ``ts``; NULL stays NULL (unlike ``window``, which drops the row)."""
     us = F.unix_micros(_col(ts))

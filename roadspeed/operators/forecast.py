@@ -13,16 +13,15 @@ from pyspark.sql import functions as F
 from roadspeed.functions import micros, minute_of_day, nan_to_null, z_score
 from roadspeed.operators.gold import CHANNELS
 from roadspeed.operators.scale import Moments
+from roadspeed.operators.sequences import channel_values
 from roadspeed.operators.split import within
 
 SELF = CHANNELS.index("self_mean")
 
 
 def _features(sequences: DataFrame, channels: Iterable[int]) -> DataFrame:
-    chosen = list(channels)
-    picked = F.transform("x", lambda step: F.array(*[step[i] for i in chosen]))
-    vector = array_to_vector(F.flatten(picked).cast("array<double>"))
-    return sequences.withColumn("features", vector)
+    values = F.concat(*[channel_values(sequences, i) for i in channels])
+    return sequences.withColumn("features", array_to_vector(values.cast("array<double>")))
 
 
 def fit_forecast(
@@ -35,7 +34,8 @@ def fit_forecast(
     """Huber regression of y on the window (absolute loss beyond ``epsilon``).
 
     Channels that are copies add nothing to a linear model, so one is used by default. Fitting is
-    distributed: each iteration is one aggregation over the rows.
+    distributed: each iteration is one aggregation over the rows. ``channels`` matter for windows with
+    several channels only.
     """
     model = LinearRegression(
         featuresCol="features", labelCol="label", predictionCol="pred", loss="huber",
@@ -51,7 +51,7 @@ def forecast(model: LinearRegressionModel, sequences: DataFrame, channels: Itera
 
 def persistence(sequences: DataFrame, channel: int = SELF) -> DataFrame:
     """Prediction: the last value of the window."""
-    return sequences.withColumn("pred", F.element_at("x", -1)[channel].cast("double"))
+    return sequences.withColumn("pred", F.element_at(channel_values(sequences, channel), -1).cast("double"))
 
 
 def seasonal_naive(

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadspeed.functions import micros, nan_to_null, parse_mixed_ts
+from roadspeed.functions import floor_div, micros, nan_to_null, parse_mixed_ts
 
 # Slots generated per row of the block table: large enough to keep that table small, small enough
 # to spread one long series over many tasks.
@@ -51,7 +51,7 @@ def complete_grid(
         key, F.unix_micros(ts).alias("_us"), *[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]
     )
     bounds = rows.groupBy(key).agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-    last = F.floor((F.col("_hi") - F.col("_lo")) / size)
+    last = floor_div(F.col("_hi") - F.col("_lo"), size)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
         bounds.select(key, "_lo", last.alias("_last"))

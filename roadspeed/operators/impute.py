@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadspeed.functions import micros, minute_of_day, nan_to_null
+from roadspeed.functions import floor_div, micros, minute_of_day, nan_to_null
 from roadspeed.operators.grid import complete_grid, timed
 
 _DAY = micros("1 day")
@@ -33,11 +33,11 @@ def impute_rolling(
     half = span // 2
     chunk = max(_DAY, _FRAMES_PER_CHUNK * span)
     us = F.col("_us")
-    home = F.floor(us / chunk)
+    home = floor_div(us, chunk)
     spread = (
         timed(df, ts).dropna(subset=[key, ts])
         .withColumns({"_us": F.unix_micros(ts), **{c: nan_to_null(F.col(c)) for c in cols}})
-        .withColumn("_chunk", F.explode(F.sequence(F.floor((us - half) / chunk), F.floor((us + half) / chunk))))
+        .withColumn("_chunk", F.explode(F.sequence(floor_div(us - half, chunk), floor_div(us + half, chunk))))
     )
     frame = Window.partitionBy(key, "_chunk").orderBy("_us").rangeBetween(half - span + 1, half)
     return (

@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadspeed.functions import is_finite, micros, nan_to_null, z_score
+from roadspeed.functions import floor_div, is_finite, micros, nan_to_null, z_score
 from roadspeed.operators.gold import CHANNELS
 from roadspeed.operators.grid import timed
 from roadspeed.operators.readings import filter_links
@@ -31,7 +33,7 @@ def _chunked(df: DataFrame, cols: Iterable[str], key: str, ts: str, chunk: str |
     return (
         timed(df, ts).dropna(subset=[key, ts])
         .withColumns({c: nan_to_null(F.col(c)) for c in cols})
-        .withColumns({"_us": us, "_chunk": F.floor(us / micros(chunk))})
+        .withColumns({"_us": us, "_chunk": floor_div(us, micros(chunk))})
     )
 
 
@@ -51,7 +53,8 @@ def _next_values(rows: DataFrame, value: str, horizon: int, key: str) -> DataFra
     first = rows.select(key, "_chunk", "_us", value).withColumn("_rank", F.row_number().over(_in_chunk(key)))
     heads = first.filter(F.col("_rank") <= horizon).groupBy(key, "_chunk").agg(_ordered("_rank", F.col(value)).alias("_head"))
     later = Window.partitionBy(key).orderBy("_chunk").rowsBetween(1, horizon)
-    return heads.select(key, "_chunk", F.slice(F.flatten(F.collect_list("_head").over(later)), 1, horizon).alias("_next"))
+    following = heads.select(key, "_chunk", F.flatten(F.collect_list("_head").over(later)).alias("_following"))
+    return following.select(key, "_chunk", F.slice("_following", 1, horizon).alias("_next"))
 
 
 def _with_target(rows: DataFrame, chunks: DataFrame, value: str, horizon: int, key: str, out: str) -> DataFrame:
@@ -65,7 +68,8 @@ def _with_target(rows: DataFrame, chunks: DataFrame, value: str, horizon: int, k
     )
     beyond = (F.col("_rank") + F.lit(horizon) - F.col("_size")).cast("int")
     target = F.when(beyond <= 0, F.col("_ahead")).otherwise(F.try_element_at("_next", F.greatest(beyond, F.lit(1))))
-    return placed.join(chunks, [key, "_chunk"]).withColumn(out, target)
+    # A merge join uses the partitioning and order the window has made already.
+    return placed.join(chunks.hint("merge"), [key, "_chunk"]).withColumn(out, target)
 
 
 def add_target(
@@ -97,12 +101,17 @@ def build_sequences(
     chunk: str | timedelta = "1 day",
     scaler: DataFrame | None = None,
 ) -> DataFrame:
-    """linkid, end_time, x ([seq_len][channels] float), y (float): one row per window.
+    """linkid, end_time, x, y (float): one row per window.
+
+    ``x`` is [seq_len][channels] float; with a single column it is a flat [seq_len].
 
     Values are standardised per link with a scaler fitted on ``fit_range`` (or the one given). Rows
     without a future value are removed first, then windows run over the rows that remain, so a
     window may bridge a gap. Only the window's last time is tested against ``end_range``. Windows
     with a value that is not a finite number are left out.
+
+    Rows of a chunk are packed into one array (288 rows for a day of 5-minute slots), to which the
+    tail of earlier chunks is prepended; each window is a slice of it.
     """
     _check(horizon, seq_len)
     cols = list(cols)
@@ -116,41 +125,50 @@ def build_sequences(
 
     # The scaler rides on the chunk table: attaching it does not shuffle the rows by link.
     chunks = _next_values(rows, value, horizon, key).join(scaler, key)
-    scores = F.array(*[z_score(c, f"{c}_mu", f"{c}_sd").cast("float") for c in cols])
-    kept = (
+    scores = [z_score(c, f"{c}_mu", f"{c}_sd").cast("float") for c in cols]
+    usable = reduce(Column.__and__, [is_finite(z) for z in scores])
+    packed = (
         _with_target(rows, chunks, value, horizon, key, "_target")
         .withColumn("y", z_score("_target", f"{value}_mu", f"{value}_sd").cast("float"))
         .filter("y IS NOT NULL")
-        .select(key, ts, "_us", "_chunk", scores.alias("_z"), "y")
+        .groupBy(key, "_chunk")
+        .agg(
+            F.array_sort(
+                F.collect_list(
+                    F.struct(
+                        F.col("_us").alias("us"), F.col("y").alias("y"), usable.alias("ok"),
+                        (scores[0] if len(cols) == 1 else F.array(*scores)).alias("z"),
+                    )
+                )
+            ).alias("_rows")
+        )
     )
 
-    before = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(F.desc("_us")))
-    tails = (
-        kept.select(key, "_chunk", "_us", "_z").withColumn("_back", before).filter(F.col("_back") < seq_len)
-        .groupBy(key, "_chunk").agg(_ordered("_us", F.col("_z")).alias("_tail"))
-    )
     # With L - 1 rows wanted, L - 1 earlier chunks are enough even if each holds a single row.
     earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-max(seq_len - 1, 1), -1)
-    history = F.flatten(F.collect_list("_tail").over(earlier))
-    previous = tails.select(key, "_chunk", _last(history, seq_len - 1).alias("_previous"))
-
-    own = F.collect_list("_z").over(_in_chunk(key).rowsBetween(-(seq_len - 1), 0))
-    none = F.array().cast("array<array<float>>")
-    joined = (
-        kept.withColumn("_own", own)
-        .join(previous, [key, "_chunk"], "left")
-        .withColumn("_previous", F.coalesce("_previous", none))
+    tails = packed.select(key, "_chunk", _last(F.col("_rows"), seq_len - 1).alias("_tail"))
+    history = tails.select(key, "_chunk", F.flatten(F.collect_list("_tail").over(earlier)).alias("_history"))
+    previous = history.select(key, "_chunk", _last(F.col("_history"), seq_len - 1).alias("_previous"))
+
+    # A merge join keeps the partitioning by (link, chunk), so the packed rows do not move again.
+    whole = packed.join(previous.hint("merge"), [key, "_chunk"]).select(
+        key, "_rows", F.size("_previous").alias("_before"), F.concat("_previous", "_rows").alias("_all")
     )
-    if end_range is not None:
-        joined = joined.filter(within(ts, end_range))
-    window = F.when(F.size("_own") == seq_len, F.col("_own")).otherwise(
-        _last(F.concat("_previous", "_own"), seq_len)
+    # Taken apart below the generator: beside it, they would be evaluated once per window.
+    series = whole.select(
+        key, "_before", "_rows",
+        F.transform("_all", lambda r: r["z"]).alias("_z"), F.transform("_all", lambda r: r["ok"]).alias("_ok"),
     )
-    finite = F.forall("x", lambda step: F.forall(step, is_finite))
-    return (
-        joined.filter(F.size("_own") + F.size("_previous") >= seq_len)
-        .select(key, F.col(ts).alias("end_time"), window.alias("x"), "y")
-        .filter(is_finite("y") & finite)
+    windows = (
+        series.select(key, "_before", "_z", "_ok", F.posexplode("_rows").alias("_pos", "_row"))
+        .withColumns({"end_time": F.timestamp_micros("_row.us"), "_start": F.col("_before") + F.col("_pos") + (2 - seq_len)})
+        .filter((F.col("_start") >= 1) & is_finite("_row.y"))
+    )
+    if end_range is not None:
+        windows = windows.filter(within("end_time", end_range))
+    complete = ~F.array_contains(F.slice("_ok", F.col("_start"), F.lit(seq_len)), False)
+    return windows.filter(complete).select(
+        key, "end_time", F.slice("_z", F.col("_start"), F.lit(seq_len)).alias("x"), F.col("_row.y").alias("y")
     )
 
 
@@ -164,11 +182,17 @@ def _check(horizon: int, seq_len: int) -> None:
 
 
 def expand_channels(sequences: DataFrame, channels: int = len(CHANNELS)) -> DataFrame:
-    """Windows of one channel to windows of equal channels.
+    """Flat windows of one channel to windows of equal channels.
 
     The channels are copies today, so pipelines store one and widen here, after all shuffles.
     """
-    return sequences.withColumn("x", F.transform("x", lambda step: F.array_repeat(step[0], channels)))
+    return sequences.withColumn("x", F.transform("x", lambda z: F.array_repeat(z, channels)))
+
+
+def channel_values(sequences: DataFrame, channel: int) -> Column:
+    """The values of one channel along a window, flat or not."""
+    nested = isinstance(sequences.schema["x"].dataType.elementType, T.ArrayType)
+    return F.transform("x", lambda step: step[channel]) if nested else F.col("x")
 
 
 def shuffle_samples(sequences: DataFrame, seed: int = 42, key: str = "linkid", end: str = "end_time") -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadspeed.functions import micros
+from roadspeed.functions import floor_div, micros
 
 _DAY = micros("1 day")
 _SMALL = 100_000
@@ -35,7 +35,7 @@ def within(ts: str, moments: tuple[datetime | int, datetime | int]) -> Column:
 def time_span(df: DataFrame, *by: str, ts: str = "datetime") -> DataFrame:
     """First and last time and the number of whole days in between plus one."""
     first, last = F.min(ts), F.max(ts)
-    days = F.floor((F.unix_micros(last) - F.unix_micros(first)) / _DAY) + 1
+    days = floor_div(F.unix_micros(last) - F.unix_micros(first), _DAY) + 1
     return df.groupBy(*by).agg(first.alias("first"), last.alias("last"), days.cast("int").alias("total_days"))
 
 
@@ -122,7 +122,7 @@ def _nth_row(rows: DataFrame, n: int, total: int, key: str, ts: str, small: int)
     for width in (_DAY, micros("1 minute"), micros("1 second"), 1):
         if total <= small:
             break
-        bucket = narrow(F.floor(F.unix_micros(ts) / width))
+        bucket = narrow(floor_div(F.unix_micros(ts), width))
         rows = rows.filter((F.col(ts) >= at(bucket * width)) & (F.col(ts) < at((bucket + 1) * width)))
     length = 1
     while total > small:

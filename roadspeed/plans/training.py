@@ -88,13 +88,13 @@ def training_set(series: DataFrame, cfg: TrainConfig = TrainConfig()) -> Trainin
 
 def train_and_score(data: TrainingSet, cfg: TrainConfig = TrainConfig()) -> tuple[LinearRegressionModel, DataFrame]:
     """The fitted model, and n, mae, tp, fp, fn, f1 per model and side."""
-    model = fit_forecast(data.train, channels=[0], max_iter=cfg.max_iter)
+    model = fit_forecast(data.train, max_iter=cfg.max_iter)
     sides = data.train.withColumn("side", F.lit("train")).unionByName(
         data.validation.withColumn("side", F.lit("validation"))
     )
     scored = [
-        forecast(model, sides, channels=[0]).withColumn("model", F.lit("huber")),
-        persistence(sides, channel=0).withColumn("model", F.lit("persistence")),
+        forecast(model, sides).withColumn("model", F.lit("huber")),
+        persistence(sides).withColumn("model", F.lit("persistence")),
     ]
     columns = ["model", "side", "y", "pred"]
     both = scored[0].select(columns).unionByName(scored[1].select(columns))

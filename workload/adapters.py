@@ -21,8 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_readings(spark: SparkSession, sf_dir: str, link: str) -> DataFrame:
     """Events as raw text readings; ``link`` is the column that names the road link."""
     text = table(spark, sf_dir, "events").select(
-        F.date_format("ts", "yyyyMMdd").alias("CREATDE"),
-        F.date_format("ts", "HHmm").alias("CREATHM"),
+        (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("string").alias("CREATDE"),
+        F.lpad((F.hour("ts") * 100 + F.minute("ts")).cast("string"), 4, "0").alias("CREATHM"),
         F.col(link).cast("string").alias("LINKID"),
         F.col("event_type").alias("ROADINSTTCD"),
         F.col("value").cast("string").alias("PASNGSPED"),

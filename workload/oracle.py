@@ -1,4 +1,8 @@
-"""The queries as DuckDB SQL on the same tables."""
+"""The queries as DuckDB SQL on the same tables.
+
+Means are compared in single precision: the inputs have two decimals, so a mean of 2^n values is
+often an exact tie for decimal rounding, and the order of a sum then decides its last digit.
+"""
 
 from __future__ import annotations
 
@@ -108,7 +112,7 @@ _BRONZE = """
 
 ORACLE: dict[str, str] = {
     "silver_slot_mean": _sql(
-        ["raw", "silver"], "SELECT datetime, date, linkid, round(v, 6) AS self_mean FROM silver"
+        ["raw", "silver"], "SELECT datetime, date, linkid, v::FLOAT::DOUBLE AS self_mean FROM silver"
     ),
     "csv_scan_days": _sql(["raw"], _DAY_TOTALS),
     "land_zip": _sql(["raw"], _DAY_TOTALS),
@@ -119,14 +123,14 @@ ORACLE: dict[str, str] = {
         SELECT user_id AS "LINKID", date, count(*) AS rows FROM raw
         WHERE user_id IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier) GROUP BY ALL"""),
     "gold_conform": _sql(
-        ["raw", "silver"], "SELECT date, datetime, linkid, round(v, 6) AS self_mean FROM silver"
+        ["raw", "silver"], "SELECT date, datetime, linkid, v::FLOAT::DOUBLE AS self_mean FROM silver"
     ),
     "gold_five_channels": _sql(["raw", "gold"], """
-        SELECT datetime, linkid, round(v, 6) AS t2_mean, round(v, 6) AS t1_mean, round(v, 6) AS self_mean,
-               round(v, 6) AS f1_mean, round(v, 6) AS f2_mean FROM gold"""),
+        SELECT datetime, linkid, v::FLOAT::DOUBLE AS t2_mean, v::FLOAT::DOUBLE AS t1_mean, v::FLOAT::DOUBLE AS self_mean,
+               v::FLOAT::DOUBLE AS f1_mean, v::FLOAT::DOUBLE AS f2_mean FROM gold"""),
     "gold_replace_days": _sql(["raw", "gold"], """
         SELECT date, datetime, linkid,
-               round(CASE WHEN date = (SELECT min(date) FROM gold) THEN v + 1000 ELSE v END, 6) AS self_mean
+               (CASE WHEN date = (SELECT min(date) FROM gold) THEN v + 1000 ELSE v END)::FLOAT::DOUBLE AS self_mean
         FROM gold"""),
     "pending_days": _sql(["raw"], """
         SELECT strftime(d, '%Y%m%d') AS date
@@ -156,44 +160,44 @@ ORACLE: dict[str, str] = {
                CAST(date_diff('day', min(datetime), max(datetime)) + 1 AS INTEGER) AS total_days
         FROM prices GROUP BY linkid"""),
     "dedupe_mean": """
-        SELECT event_type AS linkid, date_trunc('minute', ts) AS datetime, round(avg(value), 6) AS self_mean
+        SELECT event_type AS linkid, date_trunc('minute', ts) AS datetime, avg(value)::FLOAT::DOUBLE AS self_mean
         FROM events GROUP BY ALL""",
-    "dedupe_mean_days": _sql(["prices"], "SELECT linkid, datetime, round(v, 6) AS self_mean FROM prices"),
+    "dedupe_mean_days": _sql(["prices"], "SELECT linkid, datetime, v::FLOAT::DOUBLE AS self_mean FROM prices"),
     "complete_grid": _sql(
-        ["raw", "gold", "grid"], "SELECT linkid, datetime, round(v, 6) AS self_mean FROM grid"
+        ["raw", "gold", "grid"], "SELECT linkid, datetime, v::FLOAT::DOUBLE AS self_mean FROM grid"
     ),
     "complete_grid_days": _sql(
-        ["prices", "daygrid"], "SELECT linkid, datetime, round(v, 6) AS self_mean FROM daygrid"
+        ["prices", "daygrid"], "SELECT linkid, datetime, v::FLOAT::DOUBLE AS self_mean FROM daygrid"
     ),
     "impute_rolling": _sql(
-        ["raw", "gold", "grid", "rolled"], "SELECT linkid, datetime, round(v, 6) AS self_mean FROM rolled"
+        ["raw", "gold", "grid", "rolled"], "SELECT linkid, datetime, v::FLOAT::DOUBLE AS self_mean FROM rolled"
     ),
     "impute_rolling_days": _sql(["prices", "daygrid"], """
-        SELECT linkid, datetime, round(coalesce(v, avg(v) OVER (PARTITION BY linkid ORDER BY epoch_us(datetime)
-            RANGE BETWEEN 302399999999 PRECEDING AND 302400000000 FOLLOWING)), 6) AS self_mean
+        SELECT linkid, datetime, coalesce(v, avg(v) OVER (PARTITION BY linkid ORDER BY epoch_us(datetime)
+            RANGE BETWEEN 302399999999 PRECEDING AND 302400000000 FOLLOWING))::FLOAT::DOUBLE AS self_mean
         FROM daygrid"""),
     "impute_seasonal": _sql(["raw", "gold", "grid"], """
-        SELECT linkid, datetime, round(coalesce(v, avg(v) OVER (
-            PARTITION BY linkid, isodow(datetime), strftime(datetime, '%H:%M'))), 6) AS self_mean FROM grid"""),
-    "impute": _sql(_SERIES, "SELECT linkid, datetime, round(v, 6) AS self_mean FROM series"),
+        SELECT linkid, datetime, coalesce(v, avg(v) OVER (
+            PARTITION BY linkid, isodow(datetime), strftime(datetime, '%H:%M')))::FLOAT::DOUBLE AS self_mean FROM grid"""),
+    "impute": _sql(_SERIES, "SELECT linkid, datetime, v::FLOAT::DOUBLE AS self_mean FROM series"),
     "impute_channels": _sql(_SERIES, """
-        SELECT linkid, datetime, round(v, 6) AS t2_mean, round(v, 6) AS t1_mean, round(v, 6) AS self_mean,
-               round(v, 6) AS f1_mean, round(v, 6) AS f2_mean FROM series"""),
+        SELECT linkid, datetime, v::FLOAT::DOUBLE AS t2_mean, v::FLOAT::DOUBLE AS t1_mean, v::FLOAT::DOUBLE AS self_mean,
+               v::FLOAT::DOUBLE AS f1_mean, v::FLOAT::DOUBLE AS f2_mean FROM series"""),
     "split_days": _sql([*_SERIES, "sides_days=sides"], """
         SELECT linkid, datetime, CASE WHEN in_train THEN 'train' ELSE 'validation' END AS side FROM sides"""),
     "split_fraction": _sql([*_SERIES, "sides_fraction=sides"], """
         SELECT linkid, datetime, CASE WHEN in_train THEN 'train' ELSE 'validation' END AS side FROM sides"""),
     "restrict_links": _sql(["raw", "silver"], """
         , cut AS (SELECT max(datetime) - INTERVAL '28 days' AS c FROM silver)
-        SELECT datetime, date, linkid, round(v, 6) AS self_mean FROM silver, cut
+        SELECT datetime, date, linkid, v::FLOAT::DOUBLE AS self_mean FROM silver, cut
         WHERE datetime >= c AND linkid IN (SELECT linkid FROM silver, cut WHERE datetime < c)"""),
     "scaler": _sql([*_SERIES, "sides_days=sides", "bounds", "scaler"], """
-        SELECT linkid, round(mu, 6) AS self_mean_mu, round(sd, 6) AS self_mean_sd FROM scaler"""),
+        SELECT linkid, mu::FLOAT::DOUBLE AS self_mean_mu, sd::FLOAT::DOUBLE AS self_mean_sd FROM scaler"""),
     "standardise": _sql([*_SERIES, "sides_days=sides", "bounds", "scaler"], """
-        SELECT linkid, datetime, round((v - mu) / sd, 6) AS self_mean FROM series JOIN scaler USING (linkid)"""),
+        SELECT linkid, datetime, ((v - mu) / sd)::FLOAT::DOUBLE AS self_mean FROM series JOIN scaler USING (linkid)"""),
     "horizon_target": _sql(["raw", "gold", "grid"], """
-        SELECT linkid, datetime, round(v, 6) AS self_mean,
-               round(lead(v, 3) OVER (PARTITION BY linkid ORDER BY datetime), 6) AS target FROM grid"""),
+        SELECT linkid, datetime, v::FLOAT::DOUBLE AS self_mean,
+               (lead(v, 3) OVER (PARTITION BY linkid ORDER BY datetime))::FLOAT::DOUBLE AS target FROM grid"""),
     "sequences": _sql(_SAMPLES, _WINDOW_SCALARS),
     "sequences_fraction": _sql(_SAMPLES_FRACTION, _WINDOW_SCALARS),
     "target_threshold": _sql([*_SAMPLES, "threshold"], """
@@ -209,8 +213,8 @@ ORACLE: dict[str, str] = {
             LEFT JOIN season n ON n.linkid = s.linkid AND n.wd = isodow(t) AND n.hhmm = strftime(t, '%H:%M'))"""
         + _SCORES),
     "metrics_long": _sql(["metrics"], """
-        SELECT 'run' AS run_id, step, name, round(value, 6) AS value
+        SELECT 'run' AS run_id, step, name, value::FLOAT::DOUBLE AS value
         FROM (UNPIVOT metrics ON val_mae, train_mae INTO NAME name VALUE value)"""),
     "best_step": _sql(["metrics"], """
-        SELECT 'run' AS run_id, step, round(val_mae, 6) AS value FROM metrics ORDER BY val_mae, step LIMIT 1"""),
+        SELECT 'run' AS run_id, step, val_mae::FLOAT::DOUBLE AS value FROM metrics ORDER BY val_mae, step LIMIT 1"""),
 }

@@ -56,12 +56,13 @@ DAYS_CONFIG = TrainConfig(val_days=7)
 FRACTION_CONFIG = TrainConfig(val_days=30)
 
 
-def _plain(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Comparable output: rounded doubles, timestamps without zone."""
+def _plain(df: DataFrame, digits: int | None = None) -> DataFrame:
+    """Comparable output: doubles in single precision or rounded, timestamps without zone."""
 
     def tidy(name: str, kind: str) -> Column:
         if kind in ("double", "float"):
-            return F.round(F.col(name).cast("double"), digits).alias(name)
+            value = F.col(name).cast("float").cast("double")
+            return (value if digits is None else F.round(F.col(name).cast("double"), digits)).alias(name)
         if kind == "timestamp":
             return F.col(name).cast("timestamp_ntz").alias(name)
         return F.col(name)
@@ -334,8 +335,8 @@ def eval_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _training(spark, sf_dir)
-    model = fit_forecast(data.train, channels=[0])
-    return evaluate(forecast(model, data.validation, channels=[0]), data.threshold)
+    model = fit_forecast(data.train)
+    return evaluate(forecast(model, data.validation), data.threshold)
 
 
 def _daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
