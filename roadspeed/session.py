@@ -38,17 +38,17 @@ def adopt(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may do without it; then a fresh temporary folder is made and
-    remembered in the session.
+    Only a local master may do without it; then the session gets a fresh temporary checkpoint
+    folder, made once.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="roadspeed-")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    return made
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="roadspeed-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -65,3 +65,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything that fits a glob, exists."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return bool(found)

@@ -6,10 +6,10 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from roadspeed.session import path_exists
 from roadspeed.sources.days import day_list
 
 # The columns of a raw file.
@@ -33,16 +33,15 @@ def read_raw_csv(
     per day) and days with equal headers share one scan. Within a scan every file's header is
     checked; a differing one raises instead of swapping columns. A day without files has no rows.
     """
-    read = spark.read.option("header", True).option("encoding", encoding).option("pathGlobFilter", glob)
+    read = spark.read.option("header", True).option("encoding", encoding)
+
+    def files(day: str) -> str:
+        # A glob, as a folder would be searched through all its subfolders.
+        return f"{base}/date={day}/{glob}"
 
     @inheritable_thread_target(spark)
-    def header(day: str) -> tuple[str, ...] | None:
-        try:
-            return tuple(read.csv(f"{base}/date={day}").columns)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+    def header(day: str) -> tuple[str, ...]:
+        return tuple(read.csv(files(day)).columns) if path_exists(spark, files(day)) else ()
 
     days = day_list(start, end)
     with ThreadPoolExecutor(_PROBES) as pool:
@@ -59,9 +58,8 @@ def read_raw_csv(
             .option("header", True)
             .option("enforceSchema", False)
             .option("encoding", encoding)
-            .option("pathGlobFilter", glob)
             .option("basePath", base)
-            .csv([f"{base}/date={d}" for d in members])
+            .csv([files(d) for d in members])
             .select(*columns, "date")
         )
 

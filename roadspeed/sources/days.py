@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadspeed.session import path_exists
+
 
 def day_list(start: str, end: str) -> list[str]:
     """Every ``yyyyMMdd`` from start to end, both included; empty when end is earlier."""
@@ -18,13 +19,10 @@ def day_list(start: str, end: str) -> list[str]:
 
 def day_range(spark: SparkSession, start: str, end: str) -> DataFrame:
     """The same days as a frame with one string column ``date``."""
-    day = F.lit(None).cast("string")
-    bounds = spark.range(1).select(
-        F.to_date(F.lit(start), "yyyyMMdd").alias("first"), F.to_date(F.lit(end), "yyyyMMdd").alias("last")
-    )
-    # A descending sequence would otherwise count backwards.
-    days = F.explode(F.expr("sequence(first, last, INTERVAL 1 DAY)")).alias("day")
-    return bounds.filter("first <= last").select(days).select(F.coalesce(F.date_format("day", "yyyyMMdd"), day).alias("date"))
+    first, last = F.to_date(F.lit(start), "yyyyMMdd"), F.to_date(F.lit(end), "yyyyMMdd")
+    # The condition matters: a sequence refuses an end before its start.
+    days = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 DAY")))
+    return spark.range(1).select(F.explode(days).alias("day")).select(F.date_format("day", "yyyyMMdd").alias("date"))
 
 
 def read_days(
@@ -43,13 +41,9 @@ def read_days(
 
 def landed_days(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """Days with at least one file below ``base/date=*/``; file contents are not read."""
-    empty = spark.createDataFrame([], "date string")
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(base)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty
+    if not path_exists(spark, base):
+        return spark.createDataFrame([], "date string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(base)
     day = F.regexp_extract("path", "/date=([^/]+)/", 1)
     return files.select(day.alias("date")).filter("date != ''").distinct()
 
