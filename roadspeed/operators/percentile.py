@@ -31,7 +31,8 @@ def exact_percentile(df: DataFrame, column: str, pct: float, small: int = _SMALL
     below = 0
     while True:
         inside = rows.filter(y.between(low, high))
-        if low == high or count <= small:
+        # Two ranks with nothing between their values need no further search.
+        if low == high or count <= max(small, 2):
             break
         # Aim a little outside the wanted ranks, by more than the sketch's error.
         margin = 2 / accuracy
@@ -39,8 +40,10 @@ def exact_percentile(df: DataFrame, column: str, pct: float, small: int = _SMALL
         a, b = inside.agg(F.percentile_approx("y", aims, accuracy)).first()[0]
         under, upto = inside.agg(F.count_if(y < a), F.count_if(y <= b)).first()
         if not (below + under <= ranks[0] and ranks[1] < below + upto) or upto - under == count:
-            # The sketch missed or cannot narrow further: halve by value, which is always exact.
-            a, b, under, upto = _halve(inside, low, high, ranks[0] - below, ranks[1] - below)
+            # The sketch missed or cannot narrow further: go on with one side of its median.
+            a, b, under, upto = _one_side(inside, high, ranks[0] - below, ranks[1] - below, accuracy)
+            if under is None:
+                return float(a + (b - a) * (rank - ranks[0]))
         low, high, below, count = a, b, below + under, upto - under
     if low == high:
         return float(low)
@@ -49,22 +52,25 @@ def exact_percentile(df: DataFrame, column: str, pct: float, small: int = _SMALL
     return float(got[0] + (got[-1] - got[0]) * (rank - ranks[0]))
 
 
-def _halve(inside: DataFrame, low: float, high: float, first: int, last: int) -> tuple[float, float, int, int]:
-    """The part of [low, high] that holds the ranks first..last, cut at the middle value."""
+def _one_side(inside: DataFrame, high: float, first: int, last: int, accuracy: int) -> tuple[float, float, int | None, int | None]:
+    """The part of ``inside`` that holds the ranks first..last, cut after a median value.
+
+    Returns its lowest and highest value and the counts below its start and up to its end, or just
+    the two values when each holds one of the ranks. The cut lies below ``high``, so either part is
+    smaller than the whole.
+    """
     y = F.col("y")
-    mid = low / 2 + high / 2
-    # The nearest present values on both sides, so that an interval always shrinks to values that occur.
-    left, right, upto, total = inside.agg(
-        F.max(F.when(y <= mid, y)), F.min(F.when(y > mid, y)), F.count_if(y <= mid), F.count("y")
+    pivot = inside.agg(F.percentile_approx("y", 0.5, accuracy)).first()[0]
+    goes_left = y < high if pivot == high else y <= pivot
+    low, left, right, upto, total = inside.agg(
+        F.min("y"), F.max(F.when(goes_left, y)), F.min(F.when(~goes_left, y)), F.count_if(goes_left), F.count("y")
     ).first()
     if last < upto:
         return low, left, 0, upto
     if first >= upto:
         return right, high, upto, total
-    # The two ranks straddle the cut: exactly these two values matter.
-    under = inside.agg(F.count_if(y < left)).first()[0]
-    end = inside.agg(F.count_if(y <= right)).first()[0]
-    return left, right, under, end
+    # The two ranks lie on both sides of the cut, so the values next to it are the answer.
+    return left, right, None, None
 
 
 def target_threshold(sequences: DataFrame, pct: float = 25.0, column: str = "y") -> float:

@@ -38,7 +38,7 @@ def test_one_row_is_refused(series):
 
 
 @pytest.mark.parametrize("small", [100_000, 3])
-@pytest.mark.parametrize("n", [1, 7, 48])
+@pytest.mark.parametrize("n", [1, 20])
 def test_split_by_rows_takes_the_first_80_percent(series, n, small):
     links = [f"l{i}" for i in range(11)] + ["k", "l1x", "zz"]
     df = series({link: [1.0] * n for link in links})
@@ -108,9 +108,10 @@ def check_windows(df, seq_len, horizon, chunk, ends=None):
     return got
 
 
-@pytest.mark.parametrize("chunk", ["1 day", "1 hour", "5 minutes"])
-@pytest.mark.parametrize("seq_len,horizon", [(36, 1), (5, 3), (1, 1), (2, 13)])
-def test_windows_with_gaps(series, chunk, seq_len, horizon):
+@pytest.mark.parametrize(
+    "seq_len,horizon,chunk", [(36, 1, "1 day"), (36, 1, "1 hour"), (5, 3, "1 hour"), (1, 1, "1 hour"), (4, 13, "5 minutes")]
+)
+def test_windows_with_gaps(series, seq_len, horizon, chunk):
     rng = np.random.default_rng(seq_len)
 
     def link(n, missing):
@@ -204,17 +205,18 @@ CASES = {
     "few values": lambda rng: rng.integers(0, 3, 5000).astype(float),
     "constant": lambda rng: np.full(5000, 2.5),
     "outliers": lambda rng: np.concatenate([rng.normal(size=5000), [1e300, -1e300]]),
+    "straddle": lambda rng: np.repeat([1.0, 2.0], [251, 751]),
     "two": lambda rng: np.array([1.0, 2.0]),
     "one": lambda rng: np.array([4.0]),
 }
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("small,accuracy", [(1_000_000, 10_000), (10, 100), (1, 3)])
+@pytest.mark.parametrize("small,accuracy", [(1_000_000, 10_000), (50, 100), (50, 3)])
 def test_percentile_is_exact(spark, name, small, accuracy):
     data = CASES[name](np.random.default_rng(3))
     df = spark.createDataFrame(pd.DataFrame({"y": np.concatenate([data, [np.nan]])})).repartition(3)
-    for pct in (25.0, 0.0, 100.0, 37.3) if small > 1 else (25.0,):
+    for pct in (25.0, 37.3):
         assert exact_percentile(df, "y", pct, small, accuracy) == pytest.approx(np.percentile(data, pct), rel=1e-12)
 
 
