@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadspeed.functions import floor_div, micros, nan_to_null, parse_mixed_ts
+from roadspeed.session import spread_tasks
 
 # Slots generated per row of the block table: large enough to keep that table small, small enough
 # to spread one long series over many tasks.
@@ -52,12 +53,10 @@ def complete_grid(
     )
     bounds = rows.groupBy(key).agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
     last = floor_div(F.col("_hi") - F.col("_lo"), size)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = (
         bounds.select(key, "_lo", last.alias("_last"))
         .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(_BLOCK).cast("long"))))
-        # A fixed number of tasks: sized by bytes, this tiny input would end up in one.
-        .repartition(tasks, key, "_k")
+        .repartition(spread_tasks(df.sparkSession), key, "_k")
     )
     slot = F.explode(F.sequence(F.col("_k"), F.least(F.col("_k") + (_BLOCK - 1), F.col("_last"))))
     grid = blocks.select(key, "_lo", slot.alias("_slot")).select(

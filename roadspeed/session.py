@@ -56,6 +56,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread_tasks(spark: SparkSession) -> int:
+    """Tasks for work whose size its input bytes do not show, such as generated rows or archives.
+
+    Adaptive execution would merge such tasks, so their number is fixed: at least one per core.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a written Parquet table that survives lost executors.
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from roadspeed.session import spread_tasks
+
 
 @dataclass(frozen=True)
 class WriteReport:
@@ -35,11 +37,10 @@ def write_days(
     if files_per_day is None:
         laid_out = df.hint("rebalance", "date")
     else:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # Without a column the whole row decides, which is the same on a retried task.
         spread = [F.col(by)] if by else [F.col(c) for c in df.columns]
         bucket = F.pmod(F.xxhash64(*spread), F.lit(files_per_day))
-        laid_out = df.repartition(tasks, "date", bucket)
+        laid_out = df.repartition(spread_tasks(df.sparkSession), "date", bucket)
 
     # Counted while writing: no extra pass. Distinct days are bounded by the calendar.
     seen = Observation()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspeed.functions import day_from_path
+from roadspeed.session import spread_tasks
 
 _LINES_PER_BATCH = 20_000
 
@@ -56,15 +57,13 @@ def list_members(spark: SparkSession, archives: str, glob: str = "*.zip") -> Dat
 
     # The content column is not selected, so the scan lists paths without reading archives.
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archives).select(F.col("path").alias("archive"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = files.repartition(tasks, "archive").mapInPandas(directory, "archive string, member string, size long")
+    listed = files.repartition(spread_tasks(spark), "archive").mapInPandas(directory, "archive string, member string, size long")
     return listed.select(day_from_path("archive").alias("date"), "archive", "member", "size")
 
 
 def by_member(members: DataFrame) -> DataFrame:
     """Spread members over tasks, so that one large archive is not one task."""
-    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(tasks, "archive", "member")
+    return members.repartition(spread_tasks(members.sparkSession), "archive", "member")
 
 
 def read_zip_members(spark: SparkSession, archives: str, glob: str = "*.csv", encoding: str = "UTF-8") -> DataFrame:
