@@ -58,13 +58,14 @@ def pad_time(c: Column | str) -> Column:
 def parse_stamp(day: Column | str, time: Column | str) -> Column:
     """``yyyyMMdd`` and ``HHmm`` to a timestamp; an impossible time is NULL.
 
-    Spelled out as ISO text and cast, which is several times faster than a pattern.
+    Spelled out as ISO text and cast, which costs less than half of a pattern.
     """
     day, time = _col(day), _col(time)
-    date = F.concat_ws("-", day.substr(1, 4), day.substr(5, 2), day.substr(7, 2))
-    clock = F.concat_ws(":", time.substr(1, 2), time.substr(3, 2))
-    digits = F.length(day) + F.length(time) == 12
-    return F.when(digits, F.concat(date, F.lit(" "), clock).try_cast("timestamp"))
+    dash, colon = F.lit("-"), F.lit(":")
+    text = F.concat(
+        day.substr(1, 4), dash, day.substr(5, 2), dash, day.substr(7, 2), F.lit(" "), time.substr(1, 2), colon, time.substr(3, 2)
+    )
+    return F.when(F.length(day) + F.length(time) == 12, text.try_cast("timestamp"))
 
 
 def parse_mixed_ts(c: Column | str, formats: tuple[str, ...] = MIXED_FORMATS) -> Column:

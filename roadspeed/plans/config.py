@@ -23,7 +23,7 @@ class LakeConfig:
     step: str = "5 minutes"
     encoding: str = "UTF-8"
     drop_invalid_time: bool = True
-    # None lets Spark size the files; a number fixes them per day.
+    # A number fixes the files per day. None keeps the scan's splits (bronze) or lets Spark size them (silver).
     bronze_files_per_day: int | None = None
     silver_files_per_day: int | None = None
     bucket: str = "lake"

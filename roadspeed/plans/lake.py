@@ -15,7 +15,8 @@ GOLD_SCHEMA = "date string, datetime timestamp, linkid string, self_mean double"
 
 def raw_to_bronze(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> WriteReport:
     raw = read_raw_csv(spark, cfg.zone("raw"), start, end, encoding=cfg.encoding)
-    return write_days(to_bronze(raw), cfg.zone("bronze"), day_list(start, end), cfg.bronze_files_per_day)
+    fixed = cfg.bronze_files_per_day
+    return write_days(to_bronze(raw), cfg.zone("bronze"), day_list(start, end), fixed, as_read=fixed is None)
 
 
 def silver_rows(bronze: DataFrame, cfg: LakeConfig) -> DataFrame:
@@ -35,7 +36,7 @@ def silver_to_gold(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -
     gold = conform_gold(read_days(spark, cfg.zone("silver"), start, end, SILVER_SCHEMA))
     days = day_list(start, end)
     if cfg.jdbc is None:
-        write_days(gold, cfg.zone("gold"), days)
+        write_days(gold, cfg.zone("gold"), days, as_read=True)
     else:
         replace_days_jdbc(gold, cfg.jdbc, days)
 

@@ -24,6 +24,7 @@ def write_days(
     days: Iterable[str] = (),
     files_per_day: int | None = None,
     by: str | None = None,
+    as_read: bool = False,
 ) -> WriteReport:
     """Replace the days found in ``df`` (column ``date``); other days below ``base`` stay.
 
@@ -32,9 +33,13 @@ def write_days(
 
     By default the files are sized by Spark: REBALANCE gives a small day one file and splits a
     large one, so no task writes a whole hot day. ``files_per_day`` fixes the number instead,
-    spreading rows by the hash of ``by`` (or evenly without it).
+    spreading rows by the hash of ``by`` (or evenly without it). ``as_read`` skips the shuffle: it
+    suits rows that come straight from a scan of day directories, where a task holds one or a few
+    days anyway.
     """
-    if files_per_day is None:
+    if as_read:
+        laid_out = df
+    elif files_per_day is None:
         laid_out = df.hint("rebalance", "date")
     else:
         # Without a column the whole row decides, which is the same on a retried task.

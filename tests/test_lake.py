@@ -40,6 +40,8 @@ def test_small_day_is_one_file_and_files_per_day_spreads(spark, tmp_path):
     write_days(df, str(tmp_path / "b"), files_per_day=8, by="v")
     assert 1 < len(list((tmp_path / "b" / "date=20250101").glob("*.parquet"))) <= 8
     assert counts(spark, str(tmp_path / "b")) == {"20250101": 200, "20250102": 200}
+    report = write_days(df, str(tmp_path / "c"), as_read=True)
+    assert report.rows == 400 and counts(spark, str(tmp_path / "c")) == {"20250101": 200, "20250102": 200}
 
 
 def test_read_days_prunes_and_keeps_text(spark, tmp_path):
