@@ -35,7 +35,7 @@ from roadspeed.operators import (
     to_bronze,
 )
 from roadspeed.plans import LakeConfig, TrainConfig, TrainingSet, prepare_series, run_range, training_set
-from roadspeed.session import scratch_path
+from roadspeed.session import materialise, scratch_path
 from roadspeed.sinks import land_zip, metrics_table, write_days
 from roadspeed.sources import day_range, landed_days, pending_days, read_days, read_raw_csv, read_zip_members
 from roadspeed.streaming import EVENT_SCHEMA, event_values, file_events
@@ -287,7 +287,8 @@ def scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def horizon_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = complete_grid(gold_by_type(spark, sf_dir), [VALUE])
+    # Written first, as the operator reads its input twice (chunk heads and rows).
+    grid = materialise(complete_grid(gold_by_type(spark, sf_dir), [VALUE]), "grid")
     return _plain(add_target(grid, VALUE, horizon=3))
 
 
