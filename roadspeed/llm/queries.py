@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspeed.llm import quality_classifier, quality_rules
+from roadspeed.llm import language_id, ngram_join, quality_classifier, quality_rules
 from roadspeed.llm.texts import crc_of_id
 
 
@@ -26,7 +26,20 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_of_id("doc_id") % 3 == 1
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, docs.filter(~held_out & F.col("lang").isNotNull()))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
+    "op4_ngram_join": op4_ngram_join,
+    "op6_language_id": op6_language_id,
 }
