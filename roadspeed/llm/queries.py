@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspeed.llm import language_id, ngram_join, quality_classifier, quality_rules
+from roadspeed.llm import (
+    language_id, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, suffix_dedup,
+)
 from roadspeed.llm.texts import crc_of_id
 
 
@@ -30,6 +32,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_of_id("doc_id") % 3 == 1
     docs = _table(spark, sf_dir, "documents")
@@ -37,9 +44,28 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
+        for kind, *_ in secret_scan.KINDS
+    ]
+    base = F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secret_scan.written(F.col("spans")).alias("spans"), "n_live", "n_copied")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.size("draws")).cast("bigint")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.col("draws.shard").alias("shards"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
     "op4_ngram_join": op4_ngram_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_mixing": op8_mixing,
 }
