@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspeed.llm import (
-    language_id, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, suffix_dedup,
+    decontaminate, language_id, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding,
+    suffix_dedup,
 )
 from roadspeed.llm.texts import crc_of_id
 
@@ -60,6 +61,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.col("draws.shard").alias("shards"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8)
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    items = F.array_distinct("hits.item")
+    return found.select(
+        "doc_id", (F.size("hits") > 0).alias("contaminated"), F.size(items).cast("bigint").alias("n_items"),
+        items.alias("item_ids"), F.array_min("hits.edits").alias("least_edits"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -68,4 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_secret_scan": op7_secret_scan,
     "op8_mixing": op8_mixing,
+    "op9_sharding": op9_sharding,
+    "op10_decontaminate": op10_decontaminate,
 }
