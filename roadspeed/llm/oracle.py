@@ -2,4 +2,43 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_LINES = r"""
+lines AS (
+    SELECT doc_id, no - 1 AS no, line FROM (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS no
+        FROM documents
+    ) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+)"""
+
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": f"""
+WITH {_LINES},
+classes AS (
+    SELECT line, min((doc_id, no)) AS first FROM lines GROUP BY line
+),
+cut AS (
+    SELECT line, first, i, hash(concat(left(line, i - 1), substr(line, i + 1))) AS v
+    FROM (SELECT line, first, unnest(range(1, length(line) + 1)) AS i FROM classes)
+),
+near AS (
+    SELECT line, min(first) OVER (PARTITION BY v, i) AS other FROM cut
+    UNION ALL
+    SELECT cut.line, whole.first FROM cut JOIN classes whole ON hash(whole.line) = cut.v
+    UNION ALL
+    SELECT whole.line, cut.first FROM cut JOIN classes whole ON hash(whole.line) = cut.v
+),
+earliest AS (
+    SELECT line, min(other) AS place FROM (SELECT line, first AS other FROM classes UNION ALL SELECT * FROM near) GROUP BY line
+),
+gone AS (
+    SELECT doc_id, no FROM lines JOIN earliest USING (line) WHERE (doc_id, no) > place
+),
+per_doc AS (
+    SELECT doc_id, count(*) AS n, string_agg(no, ',' ORDER BY no) AS dropped FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, coalesce(n, 0) AS n_dropped,
+       coalesce(dropped, '') AS dropped_lines
+FROM documents d LEFT JOIN per_doc USING (doc_id)
+""",
+}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspeed.llm import (
-    decontaminate, language_id, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding,
+    decontaminate, language_id, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding,
     suffix_dedup,
 )
 from roadspeed.llm.texts import crc_of_id
@@ -29,6 +29,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", F.size("dropped").cast("bigint").alias("n_dropped"),
+        F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines"),
+    )
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -77,6 +85,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
+    "op3_line_dedup": op3_line_dedup,
     "op4_ngram_join": op4_ngram_join,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
