@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspeed.llm import (
@@ -55,10 +55,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
-    counts = [
-        F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}")
-        for kind, *_ in secret_scan.KINDS
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind, *_ in secret_scan.KINDS]
     base = F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256")
     return found.select("doc_id", *counts, base, secret_scan.written(F.col("spans")).alias("spans"), "n_live", "n_copied")
 
