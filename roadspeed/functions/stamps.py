@@ -69,9 +69,12 @@ def parse_stamp(day: Column | str, time: Column | str) -> Column:
 
 
 def parse_mixed_ts(c: Column | str, formats: tuple[str, ...] = MIXED_FORMATS) -> Column:
-    """The first format that fits the trimmed text; NULL when none does."""
+    """The first format that fits the trimmed text, else what a cast reads (zones, nanoseconds, short fields).
+
+    NULL when nothing does.
+    """
     text = F.trim(_col(c))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats], text.try_cast("timestamp"))
 
 
 def floor_div(c: Column | str, n: int) -> Column:

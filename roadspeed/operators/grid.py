@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from roadspeed.functions import floor_div, micros, nan_to_null, parse_mixed_ts
@@ -36,11 +36,12 @@ def complete_grid(
     key: str = "linkid",
     ts: str = "datetime",
     step: str | timedelta = "5 minutes",
+    seen: Observation | None = None,
 ) -> DataFrame:
     """One row per key and slot between the key's first and last time; absent slots have NULLs.
 
     The grid starts at each key's own first time, so rows between its slots vanish. Duplicates
-    are averaged.
+    are averaged. ``seen`` gets ``unreadable``, the rows left out because their time can't be read.
 
     Grid rows and data rows are stacked and meet in a single aggregation: one hash shuffle with
     map-side combine instead of a sorted join. The grid is generated in blocks of slots that are
@@ -48,7 +49,10 @@ def complete_grid(
     """
     cols = list(cols)
     size = micros(step)
-    rows = timed(df, ts).dropna(subset=[key, ts]).select(
+    rows = timed(df.withColumn("_given", F.col(ts).isNotNull()), ts)
+    if seen is not None:
+        rows = rows.observe(seen, F.count_if(F.col("_given") & F.col(ts).isNull()).alias("unreadable"))
+    rows = rows.dropna(subset=[key, ts]).select(
         key, F.unix_micros(ts).alias("_us"), *[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols]
     )
     bounds = rows.groupBy(key).agg(F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))

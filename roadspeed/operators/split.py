@@ -50,7 +50,10 @@ def restrict_links(df: DataFrame, train: DataFrame, key: str = "linkid") -> Data
 
 @dataclass(frozen=True)
 class Split:
-    """A cut in (time, link) order. Both sides are plain filters, so applying it shuffles nothing."""
+    """A cut in (time, link) order, links compared as text whatever their type.
+
+    Both sides are plain filters, so applying it shuffles nothing.
+    """
 
     cut: int
     cut_link: str | None = None
@@ -62,7 +65,7 @@ class Split:
         ts, cut = F.col(self.ts), at(self.cut)
         if self.cut_link is None:
             return ts < cut
-        return (ts < cut) | ((ts == cut) & (F.col(self.key) <= F.lit(self.cut_link)))
+        return (ts < cut) | ((ts == cut) & (F.col(self.key).cast("string") <= F.lit(self.cut_link)))
 
     def train(self, df: DataFrame) -> DataFrame:
         return df.filter(self.in_train)
@@ -97,7 +100,8 @@ def split_by_time(
     size = max(1, int(total * train_frac))
     if size >= total:
         raise ValueError(f"empty validation side: rows={total}, train={size}")
-    cut, link = _nth_row(df.select(ts, key).filter(F.col(ts).isNotNull()), size, total, key, ts, small)
+    rows = df.select(ts, F.col(key).cast("string").alias(key)).filter(F.col(ts).isNotNull())
+    cut, link = _nth_row(rows, size, total, key, ts, small)
     return Split(cut, link, key, ts)
 
 
@@ -119,7 +123,7 @@ def _nth_row(rows: DataFrame, n: int, total: int, key: str, ts: str, small: int)
             n -= count
         raise AssertionError("row number beyond the last row")
 
-    for width in (_DAY, micros("1 minute"), micros("1 second"), 1):
+    for width in (_DAY, micros("1 minute"), micros("1 second"), 1_000, 1):
         if total <= small:
             break
         bucket = narrow(floor_div(F.unix_micros(ts), width))

@@ -11,7 +11,7 @@ from roadspeed.plans.config import LakeConfig, TrainConfig
 from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold
 from roadspeed.plans.training import prepare_series, train_and_score, training_set
 from roadspeed.sinks import WriteReport, land_zip, metrics_table, params_table, write_run
-from roadspeed.sources import day_range, landed_days, pending_days
+from roadspeed.sources import day_list
 from roadspeed.functions import trailing_range
 from roadspeed.streaming import file_events, publish_events
 
@@ -25,9 +25,8 @@ class DayResult:
 
 
 def land_days(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> DataFrame:
-    """Land the days that have no files yet and announce what landed."""
-    pending = pending_days(day_range(spark, start, end), landed_days(spark, cfg.zone("raw")))
-    landed = land_zip(spark, cfg.archives, cfg.zone("raw"), days=pending)
+    """Land what the days' archives hold and the lake does not yet, and announce what landed."""
+    landed = land_zip(spark, cfg.archives, cfg.zone("raw"), days=day_list(start, end))
     if cfg.kafka_servers:
         publish_events(file_events(landed, cfg.bucket, "raw"), cfg.kafka_servers, cfg.kafka_topic)
     return landed

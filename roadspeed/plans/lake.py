@@ -8,15 +8,23 @@ from roadspeed.operators.gold import conform_gold
 from roadspeed.operators.readings import BRONZE_SCHEMA, SILVER_SCHEMA, normalise_time, slot_mean, to_bronze
 from roadspeed.plans.config import LakeConfig
 from roadspeed.sinks import WriteReport, replace_days_jdbc, write_days
-from roadspeed.sources import day_list, read_days, read_gold, read_raw_csv
+from roadspeed.sources import day_list, existing_days, read_days, read_gold, read_raw_csv
 
 GOLD_SCHEMA = "date string, datetime timestamp, linkid string, self_mean double"
 
 
+def _processed(spark: SparkSession, cfg: LakeConfig, zone: str, start: str, end: str) -> tuple[list[str], list[str]]:
+    """The days whose source folder exists, which are replaced even if they end empty, and the others, which stay."""
+    days = day_list(start, end)
+    there = existing_days(spark, cfg.zone(zone), days)
+    return there, sorted(set(days) - set(there))
+
+
 def raw_to_bronze(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> WriteReport:
     raw = read_raw_csv(spark, cfg.zone("raw"), start, end, encoding=cfg.encoding)
     fixed = cfg.bronze_files_per_day
-    return write_days(to_bronze(raw), cfg.zone("bronze"), day_list(start, end), fixed, as_read=fixed is None)
+    days, absent = _processed(spark, cfg, "raw", start, end)
+    return write_days(to_bronze(raw), cfg.zone("bronze"), days, fixed, as_read=fixed is None, absent=absent)
 
 
 def silver_rows(bronze: DataFrame, cfg: LakeConfig) -> DataFrame:
@@ -27,14 +35,15 @@ def silver_rows(bronze: DataFrame, cfg: LakeConfig) -> DataFrame:
 def bronze_to_silver(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> WriteReport:
     bronze = read_days(spark, cfg.zone("bronze"), start, end, BRONZE_SCHEMA)
     by = "datetime" if cfg.silver_files_per_day else None
+    days, absent = _processed(spark, cfg, "bronze", start, end)
     return write_days(
-        silver_rows(bronze, cfg), cfg.zone("silver"), day_list(start, end), cfg.silver_files_per_day, by
+        silver_rows(bronze, cfg), cfg.zone("silver"), days, cfg.silver_files_per_day, by, absent=absent
     )
 
 
 def silver_to_gold(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> None:
     gold = conform_gold(read_days(spark, cfg.zone("silver"), start, end, SILVER_SCHEMA))
-    days = day_list(start, end)
+    days, _ = _processed(spark, cfg, "silver", start, end)
     if cfg.jdbc is None:
         write_days(gold, cfg.zone("gold"), days, as_read=True)
     else:

@@ -75,6 +75,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Spark resolves it; for use inside tasks."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(place).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, or anything that fits a glob, exists."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

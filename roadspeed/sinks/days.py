@@ -16,6 +16,7 @@ class WriteReport:
     rows: int
     days: list[str] = field(default_factory=list)
     empty_days: list[str] = field(default_factory=list)
+    absent_days: list[str] = field(default_factory=list)
 
 
 def write_days(
@@ -25,11 +26,13 @@ def write_days(
     files_per_day: int | None = None,
     by: str | None = None,
     as_read: bool = False,
+    absent: Iterable[str] = (),
 ) -> WriteReport:
     """Replace the days found in ``df`` (column ``date``); other days below ``base`` stay.
 
     ``days`` are the processed days: one that ends without rows is replaced by an empty
-    directory, as dynamic overwrite alone would keep its old rows.
+    directory, as dynamic overwrite alone would keep its old rows. ``absent`` days, which have no
+    source, are only reported.
 
     By default the files are sized by Spark: REBALANCE gives a small day one file and splits a
     large one, so no task writes a whole hot day. ``files_per_day`` fixes the number instead,
@@ -60,4 +63,4 @@ def write_days(
     missing = sorted(set(days) - set(found))
     for day in missing:
         df.drop("date").limit(0).write.mode("overwrite").parquet(f"{base}/date={day}")
-    return WriteReport(seen.get["rows"], found, missing)
+    return WriteReport(seen.get["rows"], found, missing, sorted(absent))

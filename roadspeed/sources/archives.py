@@ -7,7 +7,7 @@ streams it. No archive or member is ever held in memory as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +35,21 @@ def file_opener() -> Callable:
     return locate
 
 
-def list_members(spark: SparkSession, archives: str, glob: str = "*.zip") -> DataFrame:
-    """One row per archived file: date, archive, member, size. Folder entries are left out."""
+def safe_member(archive: str, member: str) -> str:
+    """The member name, if it stays below the folder it is unpacked to; else ValueError."""
+    parts = member.split("/")
+    if not member or member.startswith("/") or "\\" in member or ":" in parts[0] or {"..", ".", ""} & set(parts):
+        raise ValueError(f"unsafe member name {member!r} in {archive}")
+    return member
+
+
+def list_members(
+    spark: SparkSession, archives: str, glob: str = "*.zip", days: Iterable[str] | None = None
+) -> DataFrame:
+    """One row per archived file: date, archive, member, size. Folder entries are left out.
+
+    With ``days``, archives of other days are not opened.
+    """
     locate = file_opener()
 
     def directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,6 +70,8 @@ def list_members(spark: SparkSession, archives: str, glob: str = "*.zip") -> Dat
 
     # The content column is not selected, so the scan lists paths without reading archives.
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(archives).select(F.col("path").alias("archive"))
+    if days is not None:
+        files = files.filter(day_from_path("archive").isin(list(days)))
     listed = files.repartition(spread_tasks(spark), "archive").mapInPandas(directory, "archive string, member string, size long")
     return listed.select(day_from_path("archive").alias("date"), "archive", "member", "size")
 

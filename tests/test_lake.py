@@ -94,7 +94,7 @@ def test_member_lines(spark, archives):
 def test_landing_skips_days_that_have_files(spark, archives, tmp_path):
     lake = tmp_path / "lake"
     assert landed_days(spark, str(lake)).collect() == []
-    landed = land_zip(spark, archives, str(lake), days=spark.createDataFrame([("20251113",)], "date string"))
+    landed = land_zip(spark, archives, str(lake), days=["20251113"])
     assert {(r.date, r.key, r.size) for r in landed.collect()} == {
         ("20251113", "date=20251113/a.csv", 6), ("20251113", "date=20251113/inner/b.csv", 4),
     }
@@ -205,3 +205,83 @@ def test_run_tables(spark, tmp_path):
     stored = {r.run_id: r["count"] for r in spark.read.parquet(str(tmp_path)).groupBy("run_id").count().collect()}
     assert stored == {"r1": 4, "r2": 2}
     assert {r.name: r.value for r in params_table(spark, "r1", {"lr": 0.1, "x": None}).collect()} == {"lr": "0.1", "x": None}
+
+
+def pack(path, members):
+    import zipfile
+
+    path.parent.mkdir(exist_ok=True)
+    with zipfile.ZipFile(path, "w") as z:
+        for name, text in members.items():
+            z.writestr(name, text)
+
+
+def test_equal_member_names_of_a_day_all_land(spark, tmp_path):
+    for stem, text in (("20251113_a", "h\n1\n"), ("20251113_b", "h\n22\n")):
+        pack(tmp_path / "in" / f"{stem}.zip", {"in/data.csv": text, f"{stem[-1]}.csv": "h\n"})
+    landed = land_zip(spark, str(tmp_path / "in"), str(tmp_path / "lake"))
+    keys = [r.key for r in landed.collect()]
+    assert len(set(keys)) == 4 and "date=20251113/a.csv" in keys
+    texts = sorted(p.read_text() for p in (tmp_path / "lake/date=20251113/in").iterdir() if p.suffix == ".csv")
+    assert texts == ["h\n1\n", "h\n22\n"]
+
+
+@pytest.mark.parametrize("member", ["../../escaped.csv", "/etc/x.csv", "a/../../x.csv", "C:/x.csv", "a\\b.csv"])
+def test_members_that_leave_their_folder_are_refused(spark, tmp_path, member):
+    from roadspeed.sources.archives import safe_member
+
+    with pytest.raises(ValueError, match="unsafe member name .* in the.zip"):
+        safe_member("the.zip", member)
+
+
+def test_a_bad_member_stops_the_landing(spark, tmp_path):
+    pack(tmp_path / "in" / "20251113.zip", {"../../escaped.csv": "x"})
+    with pytest.raises(Exception, match="unsafe member name"):
+        land_zip(spark, str(tmp_path / "in"), str(tmp_path / "deep/er/lake"))
+    assert not list(tmp_path.rglob("escaped.csv"))
+
+
+def test_a_half_landed_day_is_completed_without_opening_other_days(spark, tmp_path):
+    pack(tmp_path / "in" / "20251113.zip", {"a.csv": "1\n", "b.csv": "22\n", "c.csv": "333\n"})
+    (tmp_path / "in" / "20251112.zip").write_bytes(b"not an archive")
+    day = tmp_path / "lake/date=20251113"
+    day.mkdir(parents=True)
+    (day / "a.csv").write_text("1\n")
+    (day / "b.csv").write_text("2")  # cut short
+    landed = land_zip(spark, str(tmp_path / "in"), str(tmp_path / "lake"), days=["20251113"])
+    assert sorted(r.key for r in landed.collect()) == ["date=20251113/b.csv", "date=20251113/c.csv"]
+    assert (day / "b.csv").read_text() == "22\n"
+    assert land_zip(spark, str(tmp_path / "in"), str(tmp_path / "lake"), days=["20251113"]).count() == 0
+
+
+def test_lake_paths_are_qualified_before_they_enter_tasks(spark, tmp_path):
+    from roadspeed.session import qualified
+
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    pack(tmp_path / "in" / "20251113.zip", {"a.csv": "1\n"})
+    assert {r.lake for r in land_zip(spark, str(tmp_path / "in"), f"{tmp_path}/lake").collect()} == {f"file:{tmp_path}/lake"}
+
+
+def test_days_without_a_source_keep_their_rows(spark, tmp_path):
+    import shutil
+
+    from roadspeed.plans import LakeConfig
+    from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold
+
+    day = tmp_path / "raw/date=20251113"
+    day.mkdir(parents=True)
+    link = LakeConfig(archives="x", base="y").links[0]
+    (day / "a.csv").write_text(f"CREATDE,CREATHM,LINKID,ROADINSTTCD,PASNGSPED,PASNGTIME\n20251113,0005,{link},R,50,1\n")
+    cfg = LakeConfig(archives=str(tmp_path), base=str(tmp_path))
+
+    def run():
+        reports = [step(spark, cfg, "20251113", "20251114") for step in (raw_to_bronze, bronze_to_silver)]
+        silver_to_gold(spark, cfg, "20251113", "20251114")
+        return reports
+
+    bronze, _ = run()
+    assert (bronze.rows, bronze.empty_days, bronze.absent_days) == (1, [], ["20251114"])
+    shutil.rmtree(day)
+    bronze, silver = run()
+    assert bronze.absent_days == ["20251113", "20251114"] and silver.rows == 1
+    assert gold_rows(spark, cfg, "20251113", "20251114").count() == 1

@@ -73,6 +73,7 @@ def test_silver_means_and_filters(spark, tmp_path):
     cfg = lake(tmp_path)
     bronze = raw_to_bronze(spark, cfg, DAY, "20251115")
     assert (bronze.rows, bronze.days, bronze.empty_days) == (11, [DAY, "20251114"], ["20251115"])
+    assert bronze.absent_days == []
     bronze_to_silver(spark, cfg, DAY, "20251115")
     rows = read_days(spark, cfg.zone("silver"), DAY, DAY).select(F.date_format("datetime", "HH:mm").alias("t"), "self_mean")
     assert {r.t: r.self_mean for r in rows.collect()} == {"00:05": 50.0, "00:10": None, "00:15": None, "12:30": 30.0}

@@ -1,7 +1,8 @@
-"""Grid and imputation against pandas on small series, and on hot links."""
+"""Grid and imputation against SQL and hand-made series, and on hot links."""
 
 from datetime import timedelta
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -36,47 +37,47 @@ def test_every_position_of_the_moving_mean(series, spark):
     assert known.round(4).tolist() == [2.3333, 3.0, 3.6, 4.1667, 5.3333, 6.5, 6.5, 7.0, 7.5]
 
 
-def pandas_grid(pdf):
-    out = []
-    for link, part in pdf.dropna(subset=["datetime"]).groupby("linkid"):
-        part = part.groupby("datetime")["self_mean"].mean()
-        full = pd.date_range(part.index.min(), part.index.max(), freq="5min")
-        out.append(part.reindex(full).rename_axis("datetime").reset_index().assign(linkid=link))
-    return pd.concat(out, ignore_index=True)
-
-
-def pandas_impute(pdf):
-    pdf = pandas_grid(pdf)
-    parts = []
-    for _, part in pdf.groupby("linkid"):
-        part = part.set_index("datetime")
-        part["self_mean"] = part["self_mean"].fillna(part["self_mean"].rolling("31min", center=True, min_periods=1).mean())
-        parts.append(part.reset_index())
-    pdf = pd.concat(parts, ignore_index=True)
-    season = [pdf["linkid"], pdf["datetime"].dt.weekday, pdf["datetime"].dt.strftime("%H:%M")]
-    return pdf.assign(self_mean=pdf["self_mean"].fillna(pdf.groupby(season)["self_mean"].transform("mean")))
+GRID_SQL = """
+    WITH readings AS (SELECT linkid, datetime, avg(v) AS v FROM given GROUP BY ALL),
+    grid AS (
+        SELECT linkid, datetime, v
+        FROM (SELECT linkid, unnest(generate_series(min(datetime), max(datetime), INTERVAL '5 minutes')) AS datetime
+              FROM readings GROUP BY linkid) LEFT JOIN readings USING (linkid, datetime)
+    ),
+    near AS (
+        SELECT linkid, datetime, coalesce(v, avg(v) OVER (
+            PARTITION BY linkid ORDER BY epoch_us(datetime)
+            RANGE BETWEEN 929999999 PRECEDING AND 930000000 FOLLOWING)) AS v
+        FROM grid
+    )
+    SELECT linkid, datetime, coalesce(v, avg(v) OVER (
+        PARTITION BY linkid, isodow(datetime), strftime(datetime, '%H:%M'))) AS v
+    FROM near ORDER BY linkid, datetime"""
 
 
-def random_frame(seed, n=400, days=16):
+def random_rows(seed, n=400, days=16):
+    """Readings of three links, one of them hot, at random slots; some twice, some without a value."""
     rng = np.random.default_rng(seed)
-    minutes = rng.integers(0, days * 288, n) * 5
-    return pd.DataFrame(
-        {
-            "linkid": rng.choice(["a", "b", "hot"], n, p=[0.2, 0.2, 0.6]),
-            "datetime": pd.Timestamp(START) + pd.to_timedelta(minutes, "min"),
-            "self_mean": np.where(rng.random(n) < 0.1, np.nan, rng.normal(50, 10, n).round(2)),
-        }
-    )
+    links = rng.choice(["a", "b", "hot"], n, p=[0.2, 0.2, 0.6])
+    slot, value, empty = rng.integers(0, days * 288, n), rng.normal(50, 10, n), rng.random(n) < 0.1
+    return [
+        (str(link), START + timedelta(minutes=5 * int(s)), None if gone else float(round(v, 2)))
+        for link, s, v, gone in zip(links, slot, value, empty)
+    ]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_impute_agrees_with_pandas(spark, seed):
-    pdf = random_frame(seed)
-    got = collected(impute(spark.createDataFrame(pdf), V))
-    want = pandas_impute(pdf).sort_values(["linkid", "datetime"])
-    for link, part in want.groupby("linkid"):
-        np.testing.assert_allclose(got[link].to_numpy(), part["self_mean"].to_numpy(), rtol=1e-12)
-        assert (got[link].index == part["datetime"]).all()
+def test_impute_agrees_with_sql(spark, seed):
+    rows = random_rows(seed)
+    df = spark.createDataFrame([(k, t.isoformat(sep=" "), v) for k, t, v in rows], "linkid string, datetime string, self_mean double")
+    got = [(r.linkid, r.datetime, r.self_mean) for r in impute(df, V).orderBy("linkid", "datetime").collect()]
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE given (linkid VARCHAR, datetime TIMESTAMP, v DOUBLE)")
+        con.executemany("INSERT INTO given VALUES (?, ?, ?)", rows)
+        want = con.execute(GRID_SQL).fetchall()
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    for (*_, mine), (*_, theirs) in zip(got, want):
+        assert mine == (None if theirs is None else pytest.approx(theirs, rel=1e-12))
 
 
 def test_moving_mean_across_chunks(series):

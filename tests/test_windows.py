@@ -1,7 +1,8 @@
-"""Split, scaler, windows and percentile against pandas and numpy."""
+"""Split, scaler, windows and percentile against SQL and numpy."""
 
 from datetime import datetime, timedelta
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -50,6 +51,17 @@ def test_split_by_rows_takes_the_first_80_percent(series, n, small):
     assert split.validation(df).count() == len(ordered) - size
 
 
+@pytest.mark.parametrize("small", [100_000, 3])
+@pytest.mark.parametrize("keys", [["a", "b10", "b9", "é"], [1, 9, 10, 100, 11], [-3, -20, 5, 40, 0]], ids=["text", "long", "negative"])
+def test_one_order_for_every_size_and_key_type(spark, keys, small):
+    kind = "string" if isinstance(keys[0], str) else "long"
+    df = spark.createDataFrame([(k, START.isoformat(sep=" "), 1.0) for k in keys], f"linkid {kind}, at string, self_mean double")
+    df = df.select("linkid", F.col("at").cast("timestamp").alias("datetime"), "self_mean")
+    split = split_by_time(df, train_frac=0.6, small=small)
+    want = sorted(keys, key=lambda k: str(k).encode())[: int(len(keys) * 0.6)]
+    assert sorted(r.linkid for r in split.train(df).collect()) == sorted(want)
+
+
 @pytest.mark.parametrize("small", [100_000, 1])
 def test_split_refuses_a_cut_among_equal_keys(series, small):
     df = series({"a": [1.0]})
@@ -80,31 +92,37 @@ def test_scaler_range_is_closed_and_unseen_links_leave(series):
     assert sorted(r.self_mean for r in standardise(df, scaler, V).collect()) == [-1.0, 1.0, 98.0]
 
 
-def reference_windows(pdf, seq_len, horizon, ends=None):
-    """Windows per link by the stated rules, with plain pandas."""
-    out = {}
-    for link, g in pdf.groupby("linkid"):
-        g = g.sort_values("datetime").reset_index(drop=True)
-        mu, sd = g["self_mean"].mean(), g["self_mean"].std(ddof=0)
-        mu, sd = (mu if np.isfinite(mu) else 0.0), (sd if np.isfinite(sd) and sd else 1.0)
-        z = (g["self_mean"] - mu) / sd
-        kept = pd.DataFrame({"t": g["datetime"], "z": z, "y": z.shift(-horizon)}).dropna(subset=["y"]).reset_index(drop=True)
-        for end in range(seq_len - 1, len(kept)):
-            x = kept["z"].iloc[end - seq_len + 1 : end + 1].to_numpy()
-            t = kept["t"].iloc[end]
-            if np.isfinite(x).all() and (ends is None or ends[0] <= t <= ends[1]):
-                out[(link, t)] = (x.astype("float32"), np.float32(kept["y"].iloc[end]))
-    return out
+WINDOW_SQL = """
+    WITH scale AS (
+        SELECT linkid, coalesce(avg(v), 0) AS mu, coalesce(nullif(stddev_pop(v), 0), 1) AS sd FROM given GROUP BY linkid
+    ),
+    ahead AS (
+        SELECT linkid, t, CAST((v - mu) / sd AS FLOAT) AS z,
+               CAST((lead(v, {horizon}) OVER (PARTITION BY linkid ORDER BY t) - mu) / sd AS FLOAT) AS y
+        FROM given JOIN scale USING (linkid)
+    ),
+    framed AS (
+        SELECT linkid, t, y, list(z) OVER w AS x, count(z) OVER w AS filled
+        FROM ahead WHERE y IS NOT NULL
+        WINDOW w AS (PARTITION BY linkid ORDER BY t ROWS BETWEEN {seq_len} - 1 PRECEDING AND CURRENT ROW)
+    )
+    SELECT linkid, t, x, y FROM framed WHERE filled = {seq_len} AND t BETWEEN ? AND ?"""
 
 
 def check_windows(df, seq_len, horizon, chunk, ends=None):
+    """All windows, every element in its place, against SQL lists."""
     rows = build_sequences(df, seq_len, horizon, ALL, ends, cols=V, chunk=chunk).collect()
-    got = {(r.linkid, pd.Timestamp(r.end_time)): (r.x, r.y) for r in rows}
-    want = reference_windows(df.toPandas(), seq_len, horizon, ends)
+    got = {(r.linkid, r.end_time): (r.x, r.y) for r in rows}
+    given = [(r.linkid, r.datetime, r.self_mean) for r in df.collect()]
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE given (linkid VARCHAR, t TIMESTAMP, v DOUBLE)")
+        con.executemany("INSERT INTO given VALUES (?, ?, ?)", given)
+        found = con.execute(WINDOW_SQL.format(seq_len=seq_len, horizon=horizon), list(ends or ALL)).fetchall()
+    want = {(link, t): (x, y) for link, t, x, y in found}
     assert len(rows) == len(got) and got.keys() == want.keys()
     for k, (x, y) in want.items():
-        np.testing.assert_allclose(got[k][0], x, rtol=1e-6, atol=1e-7)
-        np.testing.assert_allclose(got[k][1], y, rtol=1e-6, atol=1e-7)
+        np.testing.assert_allclose(got[k][0], x, rtol=1e-6, atol=1e-6)
+        np.testing.assert_allclose(got[k][1], y, rtol=1e-6, atol=1e-6)
     return got
 
 

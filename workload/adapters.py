@@ -100,7 +100,8 @@ def zip_archives(raw: DataFrame) -> str:
                     day, count, files = date, 0, ExitStack()
                     out = files.enter_context(store.open_output_stream(f"{folder}/{day}_{task:05d}.zip"))
                     packed = files.enter_context(zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED))
-                    member = files.enter_context(packed.open(f"part_{task:05d}.csv", "w"))
+                    # All archives of a day hold members of two names, so that names clash.
+                    member = files.enter_context(packed.open(f"part_{task % 2}.csv", "w"))
                     member.write((",".join(columns) + "\n").encode())
                 member.write(rows[columns].to_csv(index=False, header=False).encode())
                 count += len(rows)

@@ -144,7 +144,10 @@ ORACLE: dict[str, str] = {
                'lake' AS bucket, 'raw/' || url AS key, CAST(octet_length(encode(html)) AS BIGINT) AS size
         FROM headed""",
     "parse_mixed_ts": """
-        SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS datetime FROM events""",
+        SELECT event_id, CASE WHEN event_id % 16 < 9 THEN date_trunc('second', ts)
+                              WHEN event_id % 16 < 11 THEN date_trunc('minute', ts)
+                              WHEN event_id % 16 < 15 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS datetime
+        FROM events""",
     "day_from_path": _sql(["raw"], """
         SELECT CASE WHEN event_type IN ('click', 'view') THEN date ELSE 'unknown_date' END AS date, count(*) AS rows
         FROM raw GROUP BY ALL"""),
@@ -187,6 +190,13 @@ ORACLE: dict[str, str] = {
         SELECT linkid, datetime, CASE WHEN in_train THEN 'train' ELSE 'validation' END AS side FROM sides"""),
     "split_fraction": _sql([*_SERIES, "sides_fraction=sides"], """
         SELECT linkid, datetime, CASE WHEN in_train THEN 'train' ELSE 'validation' END AS side FROM sides"""),
+    "split_fraction_numeric": """
+        WITH prices AS (SELECT DISTINCT l_suppkey AS linkid, CAST(l_shipdate AS TIMESTAMP) AS datetime FROM lineitem)
+        SELECT linkid, datetime,
+               CASE WHEN row_number() OVER (ORDER BY datetime, CAST(linkid AS VARCHAR))
+                         <= (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM prices)
+                    THEN 'train' ELSE 'validation' END AS side
+        FROM prices""",
     "restrict_links": _sql(["raw", "silver"], """
         , cut AS (SELECT max(datetime) - INTERVAL '28 days' AS c FROM silver)
         SELECT datetime, date, linkid, v::FLOAT::DOUBLE AS self_mean FROM silver, cut

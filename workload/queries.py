@@ -158,13 +158,16 @@ def gold_five_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    text = (
-        F.when(kind == "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(kind == "view", F.concat(F.lit(" "), F.date_format("ts", "yyyyMMddHHmmss"), F.lit(" ")))
-        .when(kind == "error", F.lit("not a time"))
-        .otherwise(F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
+    """Every spelling in turn, then zones, nanoseconds and short fields, then text that is no time."""
+    spellings = (
+        "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyyMMddHHmmss", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy HH:mm:ss",
+        "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss'+00:00'", "yyyy-MM-dd'T'HH:mm:ss'.000000000'",
+        "yyyy-M-d H:mm:ss", "yyyyMMddHHmm", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "MM/dd/yyyy",
     )
+    form = F.pmod("event_id", F.lit(len(spellings) + 1))
+    text = F.lit("not a time")
+    for i, spelling in enumerate(spellings):
+        text = F.when(form == i, F.concat(F.lit(" "), F.date_format("ts", spelling), F.lit(" "))).otherwise(text)
     return _plain(table(spark, sf_dir, "events").select("event_id", parse_mixed_ts(text).alias("datetime")))
 
 
@@ -261,6 +264,16 @@ def split_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split(spark, sf_dir, FRACTION_CONFIG)
 
 
+def split_fraction_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric keys, which are compared as text at every size."""
+    prices = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("linkid"), F.col("l_shipdate").cast("timestamp").alias("datetime")
+    ).distinct()
+    split = split_by_time(prices, val_days=10_000, small=1)
+    side = F.when(split.in_train, "train").otherwise("validation")
+    return _plain(prices.select("linkid", "datetime", side.alias("side")))
+
+
 def links_in_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation rows of the links that also occur in train."""
     rows = silver(raw_by_user(spark, sf_dir))
@@ -391,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_channels": full_imputation_channels,
     "split_days": split_days,
     "split_fraction": split_fraction,
+    "split_fraction_numeric": split_fraction_numeric,
     "restrict_links": links_in_train,
     "scaler": scaler,
     "standardise": scaled,
