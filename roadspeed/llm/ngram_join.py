@@ -4,9 +4,10 @@ A document is the set of its distinct word shingles. Two sets are linked from a
 
 1. Equal sets become one class with one representative, in a map-side combined aggregation.
 2. Any two linked sets share one of the first ``n - ceil(percent * n / 100) + 1`` shingles in hash order, so the
-   representatives are routed into buckets by those shingles. Shingles of one representative are dropped.
-3. Each bucket's members are compared with one member of it, then with another, which joins large groups of near
-   copies into components without listing their pairs.
+   representatives are routed into buckets by those shingles. Who is alone in all buckets has no link. The others are
+   routed again, with shingles found frequent at the end of the order, which keeps common passages out of the buckets.
+3. Each bucket's members are compared with two members of it, which joins large groups of near copies into components
+   without listing their pairs.
 4. What is still apart within a bucket goes through a signature tree: leaves of similar sizes, whose nodes hold the
    OR of the token bitmaps and the range of sizes. A dual traversal from the top prunes node pairs by the largest
    overlap they could have, and those that are one component already; inside two leaves it goes on to single sets.
@@ -32,6 +33,7 @@ from roadspeed.session import materialise
 
 MAP_WORDS = 8  # 64-bit words of a token bitmap
 LEAF, FAN = 256, 16
+_QUARTER, _LOW = np.uint64(1 << 62), 1 << 38  # of the hashes, and of their upper 40 bits
 MAP = [f"b{i}" for i in range(MAP_WORDS)]
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -56,6 +58,20 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def _least(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """The upper 40 bits of all hashes in the lowest quarter, or of so many as route the set."""
+    n = max(int(np.searchsorted(tokens, _QUARTER)), prefix_length(len(tokens), percent))
+    return tokens[:n] >> np.uint64(24)
+
+
+def _wide_map(tokens: np.ndarray) -> bytes:
+    """A bitmap with one to two bits for a token; half of its length folds it to the next smaller size."""
+    size = max(512, 1 << int(len(tokens)).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[((tokens >> np.uint64(20)) % np.uint64(size)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
     flat = np.concatenate(arrays) if arrays else np.empty(0, np.uint64)
@@ -63,7 +79,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(_id, n, f1, f2, prefix, b0..): size, fingerprint, routing shingles and bitmap of each document's set."""
+    """(_id, n, wide, f1, f2, prefix, b0..): size, fingerprint, routing shingles and bitmaps of each document's set."""
 
     def run(data: np.ndarray, bounds: np.ndarray) -> list:
         sets = list(shingle_sets(data, bounds, width))
@@ -74,12 +90,13 @@ def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
             bits = np.zeros(64 * MAP_WORDS, np.uint8)
             bits[(s >> np.uint64(20)) % np.uint64(64 * MAP_WORDS)] = 1
             row[:] = np.packbits(bits, bitorder="little").view(np.uint64)
+        wide = [_wide_map(s) for s in sets]
         return [
-            np.array([len(s) for s in sets], np.int64), one.view(np.int64), two.view(np.int64),
-            _lists([s[: prefix_length(len(s), percent)] for s in sets]), *maps.T.copy().view(np.int64),
+            np.array([len(s) for s in sets], np.int64), pa.array(wide, pa.binary()), one.view(np.int64), two.view(np.int64),
+            _lists([_least(s, percent) for s in sets]), *maps.T.copy().view(np.int64),
         ]
 
-    added = "n bigint, f1 bigint, f2 bigint, prefix array<bigint>, " + ", ".join(f"{b} bigint" for b in MAP)
+    added = "n bigint, wide binary, f1 bigint, f2 bigint, prefix array<bigint>, " + ", ".join(f"{b} bigint" for b in MAP)
     return map_texts(docs, ["_id"], "_text", run, added)
 
 
@@ -106,17 +123,47 @@ def _of(table: DataFrame, key: str, side: str) -> DataFrame:
     return table.select(F.col(key).alias(side), *(F.col(c).alias(f"{side}_{c}") for c in table.columns if c != key))
 
 
-def verify(pairs: DataFrame, maps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of ids that are linked: bitmaps first, then the whole sets."""
-    pairs = pairs.join(_of(maps, "rep", "a"), "a").join(_of(maps, "rep", "b"), "b")
+def close_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """(a, b, need) of the pairs of ids whose bitmaps allow a link: the short ones, then those that grow with the set.
+
+    A bit that only one of two bitmaps has stands for a shingle that the other set lacks.
+    """
+    small = maps.drop("wide")
+    pairs = pairs.join(_of(small, "rep", "a"), "a").join(_of(small, "rep", "b"), "b")
     missing = _bits([F.col(f"a_{m}").bitwiseAND(F.bitwise_not(F.col(f"b_{m}"))) for m in MAP])
     extra = _bits([F.col(f"b_{m}").bitwiseAND(F.bitwise_not(F.col(f"a_{m}"))) for m in MAP])
     most = F.least(F.col("a_n") - missing, F.col("b_n") - extra)
     need = percent * (F.col("a_n") + F.col("b_n"))
-    close = pairs.filter((100 + percent) * most >= need).select("a", "b", need.alias("need"))
+    pairs = pairs.filter((100 + percent) * most >= need).select("a", "b", "a_n", "b_n", need.alias("need"))
+    wide = maps.select("rep", "wide")
+    pairs = pairs.join(_of(wide, "rep", "a"), "a").join(_of(wide, "rep", "b"), "b")
+
+    def fold(words: np.ndarray, size: int) -> np.ndarray:
+        return np.bitwise_or.reduce(words.reshape(-1, size), axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n, m, need in zip(*(batch.column(i) for i in (5, 6)), *(batch.column(i).to_pylist() for i in (2, 3, 4))):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                size = min(len(x), len(y))
+                x, y = fold(x, size), fold(y, size)
+                most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+                keep.append((100 + percent) * most >= need)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b", "need"])
+
+    rows = pairs.select("a", "b", "a_n", "b_n", "need", "a_wide", "b_wide")
+    return rows.mapInArrow(run, "a bigint, b bigint, need bigint")
+
+
+def verify(pairs: DataFrame, maps: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of ids that are linked: bitmaps first, then the whole sets of those still in question."""
+    close = materialise(close_pairs(pairs, maps, percent), "close-pairs")
+    asked = materialise(close.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "asked")
+    sets = materialise(_some_sets(source, asked, width), "sets")
     both = close.join(_of(sets, "_id", "b"), "b").join(_of(sets, "_id", "a"), "a")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return both.filter((100 + percent) * shared >= F.col("need")).select("a", "b")
+    return materialise(both.filter((100 + percent) * shared >= F.col("need")).select("a", "b"), "links")
 
 
 def _with_component(postings: DataFrame, links: DataFrame) -> DataFrame:
@@ -148,7 +195,8 @@ def _compare_leaves(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
     for batch in batches:
         found = []
         for i in range(batch.num_rows):
-            left, right = members(batch.column(0)[i]), members(batch.column(1)[i])
+            left = members(batch.column(0)[i])
+            right = members(batch.column(1)[i]) if len(batch.column(1)[i]) else left
             (om, on, ox, ob), (pm, pn, px, pb) = groups(left), groups(right)
             for j in range(len(on)):
                 inter = bits(om[j] & pm)
@@ -205,49 +253,108 @@ def tree_candidates(members: DataFrame, percent: int) -> DataFrame:
 
     upper = open_pairs(side(tops, "x", []).join(side(tops, "y", []), "token"))
     upper = upper.select("token", "x_band", "y_band", F.col("x_slot").alias("x_top"), F.col("y_slot").alias("y_top"))
-    top = F.floor(F.col("slot") / FAN).cast("int")
-    lower = leaves.withColumn("top", top)
-    pairs = upper.join(side(lower, "x", ["top", "docs"]), ["token", "x_band", "x_top"])
-    pairs = open_pairs(pairs.join(side(lower, "y", ["top", "docs"]), ["token", "y_band", "y_top"]))
-    return pairs.select("x_docs", "y_docs").mapInArrow(lambda it: _compare_leaves(it, percent), "a bigint, b bigint").distinct()
+    lower = leaves.drop("docs").withColumn("top", F.floor(F.col("slot") / FAN).cast("int"))
+    pairs = upper.join(side(lower, "x", ["top"]), ["token", "x_band", "x_top"])
+    pairs = open_pairs(pairs.join(side(lower, "y", ["top"]), ["token", "y_band", "y_top"]))
+    pairs = materialise(pairs.select("token", "x_band", "x_slot", "y_band", "y_slot"), "leaf-pairs")
+
+    def held(name: str) -> DataFrame:
+        return leaves.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("band", "slot", "docs")))
+
+    pairs = pairs.join(held("x"), ["token", "x_band", "x_slot"])
+    alone = (F.col("x_band") == F.col("y_band")) & (F.col("x_slot") == F.col("y_slot"))
+    two = pairs.filter(~alone).join(held("y"), ["token", "y_band", "y_slot"]).select("x_docs", "y_docs")
+    one = pairs.filter(alone).select("x_docs", F.slice("x_docs", 1, 0).alias("y_docs"))  # the same leaf twice
+    return one.union(two).mapInArrow(lambda it: _compare_leaves(it, percent), "a bigint, b bigint").distinct()
+
+
+def _routed(classes: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+    """(token, rep, n): the shingles that route each set, in the order: the lowest quarter of the hashes without the
+    frequent ones, the frequent ones, the other hashes."""
+    shared = classes.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = []
+            for i, n in enumerate(batch.column(1).to_pylist()):
+                tokens = batch.column(2)[i].values.to_numpy()
+                at = np.minimum(np.searchsorted(shared.value, tokens), max(len(shared.value) - 1, 0))
+                hot = shared.value[at] == tokens if len(shared.value) else np.zeros(len(tokens), bool)
+                low = tokens < _LOW
+                first = np.concatenate([tokens[low & ~hot], tokens[low & hot], tokens[~low]])
+                heads.append(first[: prefix_length(n, percent)].view(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(heads)], names=["rep", "n", "prefix"])
+
+    out = classes.select("rep", "n", "prefix").mapInArrow(run, "rep bigint, n bigint, prefix array<bigint>")
+    return out.select(F.explode("prefix").alias("token"), "rep", "n")
+
+
+def _frequent(sizes: DataFrame, size: int, most: int) -> np.ndarray:
+    rows = sizes.filter((F.col("size") > size) & (F.col("token") < _LOW)).orderBy(F.desc("size"), "token").limit(most)
+    return np.sort(rows.select("token").toPandas()["token"].to_numpy(np.int64))
+
+
+def _filter_of(ids: DataFrame, name: str, bits: int = 1 << 25) -> np.ndarray:
+    """Bit array of ``bits`` bits, one set for each id: a filter of fixed size that lets some others pass."""
+    place = F.pmod(F.xxhash64(name), F.lit(bits))
+    words = ids.groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64({name}), {bits}) & 63 as int))")).alias("bits")
+    )
+    rows = words.toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _some_sets(source: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(_id, tokens) for the given ids. A filter of fixed size drops most other texts before anything is shuffled."""
+    bits = source.sparkSession.sparkContext.broadcast(_filter_of(ids, "_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(1).to_numpy()
+            hit = (bits.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
+            if hit.any():
+                yield batch.filter(pa.array(hit.astype(bool))).select(["_id", "_text"])
+
+    place = F.pmod(F.xxhash64("_id"), F.lit(1 << 25))
+    marked = source.select("_id", place.alias("_place"), "_text").mapInArrow(
+        lambda it: run(b.select(["_id", "_place", "_text"]) for b in it), "_id bigint, _text string"
+    )
+    return whole_sets(marked, width).join(ids, "_id", "left_semi")
 
 
 def ngram_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85,
+    common: int = 64, most_common: int = 200_000,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, n_links): ``component_id`` is the smallest id reachable by links.
+    """(id, n_shingles, component_id): ``component_id`` is the smallest id reachable by links. Ids are integers.
 
-    ``n_links`` counts the verified links between classes that were needed to join them, plus the equal sets.
-    Ids are integers.
+    Shingles in more than ``common`` prefixes, the most frequent ``most_common`` of them, only change the order that
+    routes; the result is the same without them.
     """
     source = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
     sketches = materialise(sketch(source, width, percent), "sketches")
     key = ["n", "f1", "f2"]
-    reps = sketches.filter("n > 0").groupBy(*key).agg(
-        F.min("_id").alias("rep"), F.first("prefix").alias("prefix"), *(F.first(b).alias(b) for b in MAP)
+    classes = sketches.filter("n > 0").groupBy(*key).agg(
+        F.min("_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("wide").alias("wide"), *(F.first(b).alias(b) for b in MAP)
     )
-    postings = reps.select(F.explode("prefix").alias("token"), "rep", "n")
-    shared = postings.groupBy("token").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("head"))
-    buckets = materialise(postings.join(shared.filter("size > 1"), "token"), "buckets")
+    classes = materialise(classes, "classes")
+    sizes = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("size"))
+    sizes = materialise(sizes.filter("size > 1"), "token-sizes")
+    frequent = _frequent(sizes, common, most_common)
+    routed = materialise(_routed(classes, frequent, percent).join(sizes.select("token"), "token"), "routed")
+    first, other = F.min(F.struct("rep", "n")), F.min_by(F.struct("rep", "n"), F.xxhash64("rep", "token"))
+    shared = routed.groupBy("token").agg(F.count("*").alias("size"), F.array(first, other).alias("heads"))
+    buckets = materialise(routed.join(shared.filter("size > 1"), "token"), "buckets")
     involved = buckets.select(F.col("rep").alias("_id")).distinct()
-    maps = sketches.join(involved, "_id", "left_semi").dropDuplicates(["_id"]).select(F.col("_id").alias("rep"), "n", *MAP)
+    maps = classes.join(involved, classes["rep"] == involved["_id"], "left_semi").select("rep", "n", "wide", *MAP)
     maps = materialise(maps, "bitmaps")
-    chosen = source.join(involved, "_id", "left_semi")
-    sets = materialise(whole_sets(chosen, width), "sets")
-
-    heads = buckets.filter(F.col("rep") != F.col("head.rep")).select(
-        F.col("head.rep").alias("a"), F.col("rep").alias("b"), F.col("n"), F.col("head.n").alias("m")
-    )
-    pairs = heads.filter(_similar_size("n", "m", percent)).select("a", "b").distinct()
-    links = materialise(verify(pairs, maps, sets, percent), "links")
 
-    known = _with_component(buckets, links)
-    other = F.min_by(F.struct("rep", "n", "comp"), F.xxhash64("rep", "token"))
-    known = materialise(known, "postings")
-    seconds = known.join(known.groupBy("token").agg(other.alias("second")), "token").filter(F.col("comp") != F.col("second.comp"))
-    seconds = seconds.filter(_similar_size("n", "second.n", percent))
-    pairs = seconds.select(F.least("rep", "second.rep").alias("a"), F.greatest("rep", "second.rep").alias("b")).distinct()
-    links = materialise(links.union(verify(pairs, maps, sets, percent)), "links")
+    pairs = buckets.select("rep", "n", F.explode(F.array_distinct("heads")).alias("head")).filter("rep <> head.rep")
+    pairs = pairs.filter(_similar_size("n", "head.n", percent))
+    pairs = pairs.select(F.least("rep", "head.rep").alias("a"), F.greatest("rep", "head.rep").alias("b")).distinct()
+    links = verify(pairs, maps, source, width, percent)
 
     known = materialise(_with_component(buckets.select("token", "rep", "n"), links), "postings")
     open_ = known.groupBy("token").agg(
@@ -255,12 +362,12 @@ def ngram_components(
         F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep").bitwiseAND(0xFFFFFFFF)).alias("y"),
     ).filter("c0 < c1")
     once = open_.groupBy("size", "x", "y").agg(F.min("token").alias("token")).select("token")  # equal buckets, one tree
-    members = known.join(once, "token", "left_semi").join(maps.drop("n"), "rep")
+    members = known.join(once, "token", "left_semi").join(maps.drop("n", "wide"), "rep")
     rest = tree_candidates(members, percent)
-    links = materialise(links.union(verify(rest, maps, sets, percent)), "links")
+    links = links.union(verify(rest, maps, source, width, percent))
 
     found = components(links)
-    classes = sketches.filter("n > 0").groupBy(*key).agg(F.min("_id").alias("rep"))
+    classes = classes.select("rep", *key)
     classes = classes.join(found, classes["rep"] == found["id"], "left").select(*key, F.coalesce("component", "rep").alias("component"))
     return sketches.select("_id", *key).join(classes, key, "left").select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "_id").alias("component_id")
