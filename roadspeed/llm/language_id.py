@@ -19,7 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadspeed.llm.texts import pieces
@@ -234,6 +234,12 @@ def cross_entropies(docs: DataFrame, models: Models, id_col: str, text_col: str)
     return rows.mapInArrow(run, f"_id {kind}, n bigint, has_letter boolean, costs array<double>")
 
 
+def _mapped(values: dict[str, float]) -> Column:
+    """A map literal."""
+    pairs = [F.lit(x) for pair in values.items() for x in pair]
+    return F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,double>")
+
+
 def identify(
     docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     deviations: float = 4.0,
@@ -254,8 +260,8 @@ def identify(
     known = training.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang")).dropna()
     own = scored.join(known, (scored["_id"] == known["_id"]) & (scored["best"] == known["_lang"]), "left_semi")
     spread = {r["best"]: (r["m"], r["s"]) for r in own.groupBy("best").agg(F.avg("cost").alias("m"), F.stddev_pop("cost").alias("s")).collect()}
-    limits = F.create_map(*(F.lit(x) for k, (m, s) in spread.items() for x in (k, m + deviations * max(s, 0.02)))) if spread else F.create_map()
-    spreads = F.create_map(*(F.lit(x) for k, (_, s) in spread.items() for x in (k, max(s, 0.02)))) if spread else F.create_map()
+    limits = _mapped({k: m + deviations * max(s, 0.02) for k, (m, s) in spread.items()})
+    spreads = _mapped({k: max(s, 0.02) for k, (_, s) in spread.items()})
     sharp = F.least(F.col("n").cast("double"), F.lit(20.0))
     surety = 1 / F.aggregate("costs", F.lit(0.0), lambda total, c: total + F.exp((F.col("cost") - c) * sharp))
     excess = F.coalesce((F.col("cost") - limits[F.col("best")]) / spreads[F.col("best")], F.lit(0.0))
