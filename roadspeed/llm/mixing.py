@@ -139,8 +139,7 @@ def mix(
 
 def drawn(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", seed: int = 7) -> DataFrame:
     """The rows of ``docs``, each as often as it was drawn, with ``mix_shard`` and ``mix_order`` within the shard."""
-    each = mixed.select(F.col(id_col).alias("_id"), F.explode("draws").alias("draw")).distinct()
-    each = each.select(
-        "_id", F.col("draw.shard").alias("mix_shard"), _dealt("_id", "draw.round", seed=seed + 99).alias("mix_order")
-    )
-    return docs.join(each, docs[id_col] == each["_id"]).drop("_id")
+    each = mixed.select(F.col(id_col).alias("_drawn_id"), F.explode("draws").alias("draw")).distinct()
+    order = _dealt("_drawn_id", "draw.round", seed=seed + 99).alias("mix_order")
+    each = each.select("_drawn_id", F.col("draw.shard").alias("mix_shard"), order)
+    return docs.join(each, docs[id_col] == each["_drawn_id"]).drop("_drawn_id")
