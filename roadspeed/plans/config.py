@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
+
+from roadspeed.functions import micros
 
 # The road links kept in silver.
 DEFAULT_LINKS = (
@@ -46,7 +49,13 @@ class TrainConfig:
     train_frac: float = 0.8
     step: str = "5 minutes"
     width: str = "31 minutes"
-    chunk: str = "1 day"
+    chunk: str | None = None
     threshold_pct: float = 25.0
     window_days: int = 30
     max_iter: int = 20
+
+    @property
+    def span(self) -> timedelta:
+        """Time chunk for windows: ``chunk``, or some windows' worth of steps, so that a chunk is no single row."""
+        rows = max(288, 8 * self.seq_len)
+        return timedelta(microseconds=micros(self.chunk) if self.chunk else micros(self.step) * rows)

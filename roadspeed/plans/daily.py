@@ -32,6 +32,11 @@ def land_days(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> Dat
     return landed
 
 
+def model_path(cfg: LakeConfig, run_id: str) -> str:
+    """Where the fitted model of a run is kept; ``LinearRegressionModel.load`` reads it."""
+    return f"{cfg.zone('models')}/{run_id}"
+
+
 def run_range(spark: SparkSession, cfg: LakeConfig, train: TrainConfig, start: str, end: str) -> DayResult:
     """Bring the days start..end to gold, then train on the trailing days up to ``end``."""
     landed = land_days(spark, cfg, start, end)
@@ -40,8 +45,9 @@ def run_range(spark: SparkSession, cfg: LakeConfig, train: TrainConfig, start: s
     silver_to_gold(spark, cfg, start, end)
     first, last = spark.range(1).select(*trailing_range(F.lit(end), train.window_days)).first()
     data = training_set(prepare_series(gold_rows(spark, cfg, first, last), train), train)
-    _, scores = train_and_score(data, train)
+    model, scores = train_and_score(data, train)
     run_id = f"{first}-{last}"
+    model.write().overwrite().save(model_path(cfg, run_id))
     flat = (
         scores.filter("model = 'huber'")
         .groupBy(F.lit(1).alias("step"))

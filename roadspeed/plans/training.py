@@ -74,7 +74,7 @@ def training_set(series: DataFrame, cfg: TrainConfig = TrainConfig()) -> Trainin
     # Links outside train have no scaler row and so no window.
     scaler = fit_scaler(series, [VALUE], (t0, t1)).join(per_link.select("linkid"), "linkid", "left_semi")
     scaler = materialise(scaler, "scaler")
-    windows = build_sequences(series, cfg.seq_len, cfg.horizon, cols=[VALUE], chunk=cfg.chunk, scaler=scaler)
+    windows = build_sequences(series, cfg.seq_len, cfg.horizon, cols=[VALUE], chunk=cfg.span, scaler=scaler)
     tagged = windows.withColumns(
         {"train": within("end_time", (t0, t1)), "validation": within("end_time", (v0, v1))}
     )

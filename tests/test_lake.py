@@ -165,9 +165,15 @@ class FakeConnection:
         return lambda *args: self.log.append((name, list(args)))
 
 
-def replace_with(monkeypatch, spark, connection):
+def replace_with(monkeypatch, spark, connection, staged=None):
     gold = spark.createDataFrame([("20250101", 1.0)], "date string, self_mean double")
-    monkeypatch.setattr(gold_jdbc, "_stage", lambda df, jdbc, staging: connection.log.append(("stage", [staging])))
+
+    def write(df, jdbc, table, mode):
+        connection.log.append((mode, [table]))
+        if staged and table == "s":
+            raise staged
+
+    monkeypatch.setattr(gold_jdbc, "_write", write)
     monkeypatch.setattr(gold_jdbc, "_connect", lambda spark, jdbc: connection)
     replace_days_jdbc(gold, {"url": "jdbc:x", "dbtable": "gold"}, ["20250102", "20250101"], staging="s")
 
@@ -176,13 +182,14 @@ def test_jdbc_replacement_is_one_transaction(spark, monkeypatch):
     connection = FakeConnection()
     replace_with(monkeypatch, spark, connection)
     assert connection.log == [
-        ("stage", ["s"]),
+        ("ignore", ["gold"]),  # the first load creates the table
+        ("overwrite", ["s"]),
         ("setAutoCommit", [False]),
-        ("DELETE FROM gold WHERE date IN (?, ?)", ["20250101", "20250102"]),
-        ("INSERT INTO gold (date, self_mean) SELECT DISTINCT date, self_mean FROM s", []),
+        ('DELETE FROM gold WHERE "date" IN (?, ?)', ["20250101", "20250102"]),
+        ('INSERT INTO gold ("date", "self_mean") SELECT DISTINCT "date", "self_mean" FROM s', []),
         ("commit", []),
         ("setAutoCommit", [True]),
-        ("DROP TABLE s", []),
+        ("DROP TABLE IF EXISTS s", []),
         ("close", []),
     ]
 
@@ -192,7 +199,14 @@ def test_jdbc_replacement_rolls_back(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="refused"):
         replace_with(monkeypatch, spark, connection)
     names = [name for name, _ in connection.log]
-    assert "rollback" in names and "commit" not in names and names[-2:] == ["DROP TABLE s", "close"]
+    assert "rollback" in names and "commit" not in names and names[-2:] == ["DROP TABLE IF EXISTS s", "close"]
+
+
+def test_a_failed_staging_leaves_nothing(spark, monkeypatch):
+    connection = FakeConnection()
+    with pytest.raises(RuntimeError, match="no space"):
+        replace_with(monkeypatch, spark, connection, RuntimeError("no space"))
+    assert [name for name, _ in connection.log] == ["ignore", "overwrite", "DROP TABLE IF EXISTS s", "close"]
 
 
 def test_run_tables(spark, tmp_path):
