@@ -62,9 +62,22 @@ def first_last_day(raw: DataFrame) -> tuple[str, str]:
     return tuple(raw.agg(F.min("date"), F.max("date")).first())
 
 
-def csv_lake(raw: DataFrame) -> str:
+def dirty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings by type with, in every ten, an impossible time, a day of another date, a bad day and a short time."""
+    form = F.pmod("event_id", F.lit(10))
+    minutes = F.hour("ts") * 100 + F.minute("ts")
+    day = F.date_format("ts", "yyyyMMdd")
+    return table(spark, sf_dir, "events").select(
+        F.when(form == 1, F.date_format(F.date_add("ts", 1), "yyyyMMdd")).when(form == 2, "20x51113").otherwise(day).alias("CREATDE"),
+        F.when(form == 0, "2599").when(form == 3, minutes.cast("string")).otherwise(F.lpad(minutes.cast("string"), 4, "0")).alias("CREATHM"),
+        F.col("event_type").alias("LINKID"), F.lit("R").alias("ROADINSTTCD"), F.col("value").cast("string").alias("PASNGSPED"),
+        F.get_json_object("props", "$.k").alias("PASNGTIME"), day.alias("date"),
+    )
+
+
+def csv_lake(raw: DataFrame, base: str | None = None) -> str:
     """Raw CSV files by day in a new folder; the last day has its columns in reverse order."""
-    base = scratch_path(raw.sparkSession, "csv")
+    base = base or scratch_path(raw.sparkSession, "csv")
     _, last = first_last_day(raw)
     plain, turned = raw.filter(F.col("date") != last), raw.filter(F.col("date") == last)
     for part, columns in ((plain, RAW_COLUMNS), (turned, RAW_COLUMNS[::-1])):

@@ -106,6 +106,10 @@ _WINDOW_SCALARS = """
 
 _DAY_TOTALS = "SELECT date, count(*) AS rows, round(sum(value), 2) AS total FROM raw GROUP BY date"
 
+_DIRTY = """
+    SELECT strftime(ts, '%Y%m%d') AS date, time_bucket(INTERVAL '5 minutes', ts) AS slot, event_type AS linkid, value
+    FROM events WHERE event_id % 10 NOT IN (0, 1, 2)"""
+
 _BRONZE = """
     SELECT date AS "CREATDE", strftime(ts, '%H%M') AS "CREATHM", user_id AS "LINKID",
            event_type AS "ROADINSTTCD", value AS "PASNGSPED", k AS "PASNGTIME", date FROM raw"""
@@ -116,6 +120,30 @@ ORACLE: dict[str, str] = {
     ),
     "csv_scan_days": _sql(["raw"], _DAY_TOTALS),
     "land_zip": _sql(["raw"], _DAY_TOTALS),
+    "bronze_plan": """
+        SELECT CASE event_id % 10 WHEN 1 THEN strftime(ts + INTERVAL '1 day', '%Y%m%d') WHEN 2 THEN '20x51113'
+                    ELSE strftime(ts, '%Y%m%d') END AS "CREATDE",
+               CASE event_id % 10 WHEN 0 THEN '2599' WHEN 3 THEN CAST(hour(ts) * 100 + minute(ts) AS VARCHAR)
+                    ELSE strftime(ts, '%H%M') END AS "CREATHM",
+               event_type AS "LINKID", 'R' AS "ROADINSTTCD", value::FLOAT::DOUBLE AS "PASNGSPED",
+               CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS DOUBLE) AS "PASNGTIME", strftime(ts, '%Y%m%d') AS date
+        FROM events""",
+    "silver_plan": f"""
+        SELECT date, slot AS datetime, linkid, avg(value)::FLOAT::DOUBLE AS self_mean FROM ({_DIRTY}) GROUP BY ALL""",
+    "gold_plan": f"""
+        SELECT date, slot AS datetime, linkid, avg(value)::FLOAT::DOUBLE AS self_mean FROM ({_DIRTY}) GROUP BY ALL""",
+    "forecast_eval": _sql([*_SAMPLES, "threshold"], """
+        SELECT count(*) AS n, count(*) FILTER (y <= thr) AS positives, true AS better
+        FROM samples, threshold WHERE validation"""),
+    "day_run": _sql([*_SAMPLES, "threshold"], """
+        , sides_of AS (
+            SELECT 'train' AS side, y, last_z FROM samples WHERE train
+            UNION ALL SELECT 'validation', y, last_z FROM samples WHERE validation),
+        counted AS (
+            SELECT side, count(*) AS n, count(*) FILTER (y <= thr) AS positives, round(avg(abs(last_z - y)), 4) AS mae
+            FROM sides_of, threshold GROUP BY side)
+        SELECT 'persistence' AS model, side, n, positives, mae FROM counted
+        UNION ALL SELECT 'huber', side, n, positives, NULL FROM counted"""),
     "zip_members": _sql(["raw"], "SELECT date, count(*) AS rows FROM raw GROUP BY date"),
     "bronze_cast": _sql(["raw"], _BRONZE),
     "lake_roundtrip": _sql(["raw"], _BRONZE),

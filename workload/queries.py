@@ -35,11 +35,14 @@ from roadspeed.operators import (
     to_bronze,
 )
 from roadspeed.plans import LakeConfig, TrainConfig, TrainingSet, prepare_series, run_range, training_set
+from roadspeed.operators.readings import BRONZE_SCHEMA, SILVER_SCHEMA
+from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold
 from roadspeed.session import materialise, scratch_path
 from roadspeed.sinks import land_zip, metrics_table, write_days
 from roadspeed.sources import day_range, landed_days, pending_days, read_days, read_raw_csv, read_zip_members
 from roadspeed.streaming import EVENT_SCHEMA, event_values, file_events
 from workload.adapters import (
+    dirty_readings,
     csv_lake,
     first_last_day,
     gold_by_type,
@@ -348,9 +351,13 @@ def eval_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forecast_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What can be known of an iterative fit beforehand: counts, and that it beats the last value."""
     data = _training(spark, sf_dir)
-    model = fit_forecast(data.train)
-    return evaluate(forecast(model, data.validation), data.threshold)
+    fitted = evaluate(forecast(fit_forecast(data.train), data.validation), data.threshold)
+    last = evaluate(persistence(data.validation), data.threshold).select(F.col("mae").alias("last_mae"))
+    return fitted.join(last).select(  # one row each
+        "n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("mae") < F.col("last_mae")).alias("better")
+    )
 
 
 def _daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,10 +376,40 @@ def lowest_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores per side after the whole run; of the fitted model only the counts can be known beforehand."""
     raw = raw_by_type(spark, sf_dir)
     first, last = first_last_day(raw)
     lake = LakeConfig(archives=zip_archives(raw), base=scratch_path(spark, "lake"), links=None)
-    return run_range(spark, lake, TrainConfig(val_days=7), first, last).scores
+    scores = run_range(spark, lake, TrainConfig(val_days=7), first, last).scores
+    mae = F.when(F.col("model") == "persistence", F.col("mae")).alias("mae")
+    return _plain(scores.select("model", "side", "n", (F.col("tp") + F.col("fn")).alias("positives"), mae), 4)
+
+
+def _planned(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, str, str]:
+    """A lake whose zones were filled by the plans, and its days."""
+    raw = dirty_readings(spark, sf_dir)
+    cfg = LakeConfig(archives="", base=scratch_path(spark, "lake"), links=None)
+    csv_lake(raw, cfg.zone("raw"))
+    days = first_last_day(raw)
+    raw_to_bronze(spark, cfg, *days)
+    bronze_to_silver(spark, cfg, *days)
+    silver_to_gold(spark, cfg, *days)
+    return cfg, *days
+
+
+def bronze_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg, *days = _planned(spark, sf_dir)
+    return _plain(read_days(spark, cfg.zone("bronze"), *days, BRONZE_SCHEMA))
+
+
+def silver_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg, *days = _planned(spark, sf_dir)
+    return _plain(read_days(spark, cfg.zone("silver"), *days, SILVER_SCHEMA))
+
+
+def gold_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg, *days = _planned(spark, sf_dir)
+    return _plain(gold_rows(spark, cfg, *days))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -388,6 +425,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_events_json": file_events_json,
     "zip_members": zip_members,
     "land_zip": zip_landing,
+    "bronze_plan": bronze_plan,
+    "silver_plan": silver_plan,
+    "gold_plan": gold_plan,
     "parse_mixed_ts": mixed_stamps,
     "day_from_path": file_days,
     "trailing_range": trailing_ranges,
