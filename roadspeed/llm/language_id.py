@@ -27,18 +27,19 @@ from roadspeed.session import materialise
 
 ORDER = 4
 UNKNOWN = "und"
+_HALF = 0xFFFD  # stands for half of a character beyond 16 bits
 _HELD = 1 << 21  # grams a task holds per language before it merges them
 
 
 @cache
 def _folded() -> np.ndarray:
-    """For each UTF-16 unit its lower-case letter, or a space. Halves of rarer letters count as letters."""
+    """For each UTF-16 unit its lower-case letter, or a space; ``_HALF`` for halves of rarer characters."""
     table = np.full(1 << 16, 32, np.uint16)
     for i in range(1 << 16):
         low = chr(i).lower()
         if chr(i).isalpha():
             table[i] = ord(low) if len(low) == 1 and ord(low) < 1 << 16 else i
-    table[0xD800:0xE000] = 0xFFFD
+    table[0xD800:0xE000] = _HALF
     return table
 
 
@@ -54,8 +55,11 @@ def grams_of_piece(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     keep = ~blank
     keep[1:] |= ~blank[:-1]
     keep[at_edge[:-1] & blank] = False
-    letters = np.concatenate([[0], np.cumsum(~blank)])
+    letters = np.concatenate([[0], np.cumsum(~blank & (low != _HALF))])
     has_letter = letters[edges[1:]] > letters[edges[:-1]]
+    for i in np.unique(np.searchsorted(edges, np.flatnonzero(low == _HALF), "right") - 1):
+        if not has_letter[i]:  # signs such as emoji are no letters, other scripts are
+            has_letter[i] = any(map(str.isalpha, data[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8", "replace")))
     kept = np.flatnonzero(keep)
     first = np.searchsorted(kept, edges)
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(first))

@@ -64,6 +64,12 @@ def test_languages_of_odd_texts(odd, docs_of):
     assert li.identify(odd.limit(0), train).count() == 0
 
 
+def test_letters_of_any_script_and_no_others():
+    for text, letter in (("😀 1234 !?", False), ("😀", False), ("𐌰𐌱", True), ("x😀", True), ("漢", True), ("٣", False), ("", False)):
+        data = np.frombuffer(f"{text}".encode(), np.uint8)
+        assert li.grams_of_piece(data, np.array([0, len(data)]))[2].tolist() == [letter], text
+
+
 def test_foreign_text_is_rejected(docs_of):
     rng = random.Random(1)
     words = "der die das und ist nicht ein eine mit von auf für dem den haus baum strasse wasser".split()
