@@ -24,6 +24,7 @@ from roadspeed.operators.grid import timed
 from roadspeed.operators.readings import filter_links
 from roadspeed.operators.scale import Moments, fit_scaler
 from roadspeed.operators.split import within
+from roadspeed.session import materialise
 
 _WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -144,14 +145,23 @@ def build_sequences(
         )
     )
 
-    # With L - 1 rows wanted, L - 1 earlier chunks are enough even if each holds a single row.
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-max(seq_len - 1, 1), -1)
-    tails = packed.select(key, "_chunk", _last(F.col("_rows"), seq_len - 1).alias("_tail"))
-    history = tails.select(key, "_chunk", F.flatten(F.collect_list("_tail").over(earlier)).alias("_history"))
+    # Written once: the tails and the windows both read it, and nothing above it runs twice.
+    packed = materialise(packed, "packed")
+
+    # A chunk's history is the tails of those earlier chunks that end less than L - 1 rows before it, so the frame holds
+    # at most twice that many rows, whatever the chunks hold.
+    in_order = Window.partitionBy(key).orderBy("_chunk")
+    short = packed.select(
+        key, "_chunk", F.size("_rows").cast("long").alias("_n"), _last(F.col("_rows"), seq_len - 1).alias("_tail")
+    )
+    tails = short.select(
+        key, "_chunk", (F.sum("_n").over(in_order) - F.col("_n")).alias("_start_row"), F.lag("_tail").over(in_order).alias("_tail")
+    )
+    near = Window.partitionBy(key).orderBy("_start_row").rangeBetween(-max(seq_len - 2, 0), 0)
+    history = tails.select(key, "_chunk", F.flatten(F.collect_list("_tail").over(near)).alias("_history"))
     previous = history.select(key, "_chunk", _last(F.col("_history"), seq_len - 1).alias("_previous"))
 
-    # A merge join keeps the partitioning by (link, chunk), so the packed rows do not move again.
-    whole = packed.join(previous.hint("merge"), [key, "_chunk"]).select(
+    whole = packed.join(previous, [key, "_chunk"]).select(
         key, "_rows", F.size("_previous").alias("_before"), F.concat("_previous", "_rows").alias("_all")
     )
     # Taken apart below the generator: beside it, they would be evaluated once per window.
