@@ -8,7 +8,7 @@ A document is the set of its distinct word shingles. Two sets are linked from a
    routed again, with shingles found frequent at the end of the order, which keeps common passages out of the buckets.
 3. Each bucket's members are compared with two members of it, which joins large groups of near copies into components
    without listing their pairs.
-4. What is still apart within a bucket goes through a signature tree: leaves of similar sizes, whose nodes hold the
+4. What is still apart within a bucket (buckets of one smallest member are one) goes through a signature tree: leaves of similar sizes, whose nodes hold the
    OR of the token bitmaps and the range of sizes. A dual traversal from the top prunes node pairs by the largest
    overlap they could have, and those that are one component already; inside two leaves it goes on to single sets.
 5. Whatever a bound lets pass is verified on the whole sets. Components are found by star contraction.
@@ -123,6 +123,18 @@ def _of(table: DataFrame, key: str, side: str) -> DataFrame:
     return table.select(F.col(key).alias(side), *(F.col(c).alias(f"{side}_{c}") for c in table.columns if c != key))
 
 
+def _words(bitmap: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(bitmap.as_buffer(), np.uint64)
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, n: int, m: int, percent: int) -> bool:
+    """Whether two sets of n and m shingles can be linked, by the bitmaps that grow with them."""
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_or.reduce(w.reshape(-1, size), axis=0) for w in (x, y))
+    most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+    return (100 + percent) * most >= percent * (n + m)
+
+
 def close_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     """(a, b, need) of the pairs of ids whose bitmaps allow a link: the short ones, then those that grow with the set.
 
@@ -138,18 +150,11 @@ def close_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
     wide = maps.select("rep", "wide")
     pairs = pairs.join(_of(wide, "rep", "a"), "a").join(_of(wide, "rep", "b"), "b")
 
-    def fold(words: np.ndarray, size: int) -> np.ndarray:
-        return np.bitwise_or.reduce(words.reshape(-1, size), axis=0)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y, n, m, need in zip(*(batch.column(i) for i in (5, 6)), *(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                size = min(len(x), len(y))
-                x, y = fold(x, size), fold(y, size)
-                most = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
-                keep.append((100 + percent) * most >= need)
+            wide = [[_words(v) for v in batch.column(i)] for i in (5, 6)]
+            sizes = [batch.column(i).to_pylist() for i in (2, 3)]
+            keep = [_may_link(x, y, n, m, percent) for x, y, n, m in zip(*wide, *sizes)]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b", "need"])
 
     rows = pairs.select("a", "b", "a_n", "b_n", "need", "a_wide", "b_wide")
@@ -185,10 +190,11 @@ def _compare_leaves(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
         cols = [held.field(i).to_numpy(zero_copy_only=False) for i in range(3 + MAP_WORDS)]
         order = np.argsort(cols[1], kind="stable")
         maps = np.stack(cols[3:], axis=1).view(np.uint64)[order]
-        return cols[0][order], cols[1][order], cols[2][order], maps, bits(maps)
+        wide = held.field(3 + MAP_WORDS)
+        return cols[0][order], cols[1][order], cols[2][order], maps, bits(maps), [_words(wide[int(i)]) for i in order]
 
     def groups(side: tuple) -> tuple:
-        _, n, _, maps, own = side
+        _, n, _, maps, own, _ = side
         at = np.arange(0, len(n), FAN)
         return np.bitwise_or.reduceat(maps, at), np.minimum.reduceat(n, at), np.maximum.reduceat(n, at), np.minimum.reduceat(own, at)
 
@@ -212,6 +218,11 @@ def _compare_leaves(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
                 most = np.minimum(na - left[4][mine][:, None] + inter, nb - right[4][theirs][None, :] + inter)
                 ok = ((100 + percent) * most >= percent * (na + nb)) & (left[2][mine][:, None] != right[2][theirs][None, :]) & (ia != ib)
                 x, y = np.nonzero(ok)
+                fits = [
+                    _may_link(left[5][j * FAN + p], right[5][theirs[q]], int(na[p, 0]), int(nb[0, q]), percent)
+                    for p, q in zip(x.tolist(), y.tolist())
+                ]
+                x, y = x[fits], y[fits]
                 u, v = ia[x, 0], ib[0, y]
                 found.append(np.stack([np.minimum(u, v), np.maximum(u, v)]))
         both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
@@ -221,7 +232,7 @@ def _compare_leaves(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator
 def tree_candidates(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) from different components that the trees of their buckets can't rule out.
 
-    ``members`` has token, rep, n, comp and the bitmap of every set in every bucket.
+    ``members`` has token, rep, n, comp and the bitmaps of every set in every bucket.
     """
     band = F.floor(F.log(F.col("n")) / math.log(100 / percent)).cast("int")
     placed = members.withColumn("band", band)
@@ -234,7 +245,7 @@ def tree_candidates(members: DataFrame, percent: int) -> DataFrame:
     ]
     ranged = placed.select(
         "token", "band", "slot", "own", *MAP, F.col("n").alias("least"), F.col("n").alias("most"), F.col("comp").alias("c0"),
-        F.col("comp").alias("c1"), F.struct("rep", "n", "comp", *MAP).alias("doc"),
+        F.col("comp").alias("c1"), F.struct("rep", "n", "comp", *MAP, "wide").alias("doc"),
     )
     leaves = materialise(ranged.groupBy("token", "band", "slot").agg(*node, F.collect_list("doc").alias("docs")), "leaves")
     tops = leaves.withColumn("slot", F.floor(F.col("slot") / FAN).cast("int")).groupBy("token", "band", "slot").agg(*node)
@@ -357,12 +368,11 @@ def ngram_components(
     links = verify(pairs, maps, source, width, percent)
 
     known = materialise(_with_component(buckets.select("token", "rep", "n"), links), "postings")
-    open_ = known.groupBy("token").agg(
-        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("size"),
-        F.bit_xor(F.xxhash64("rep")).alias("x"), F.sum(F.xxhash64("rep").bitwiseAND(0xFFFFFFFF)).alias("y"),
-    ).filter("c0 < c1")
-    once = open_.groupBy("size", "x", "y").agg(F.min("token").alias("token")).select("token")  # equal buckets, one tree
-    members = known.join(once, "token", "left_semi").join(maps.drop("n", "wide"), "rep")
+    # Buckets with one smallest member overlap widely, so they become one bucket and a pair is met once in it.
+    open_ = known.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("rep").alias("head"))
+    open_ = open_.filter("c0 < c1").select("token", "head")
+    members = known.join(open_, "token").groupBy(F.col("head").alias("token"), "rep").agg(F.first("comp").alias("comp"))
+    members = members.join(maps, "rep")
     rest = tree_candidates(members, percent)
     links = links.union(verify(rest, maps, source, width, percent))
 
