@@ -132,6 +132,16 @@ def best_end(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best
 
 
+def may_match(pattern: bytes, text: bytes, most: int, q: int = 5) -> bool:
+    """False if the edit distance of the pattern to all parts of the text is surely above ``most``: an edit spoils
+    at most ``q`` of the pattern's strings of ``q`` characters."""
+    need = len(pattern) - q + 1 - q * most
+    if need <= 0:
+        return True
+    there = {text[i : i + q] for i in range(len(text) - q + 1)}
+    return sum(pattern[i : i + q] in there for i in range(len(pattern) - q + 1)) >= need
+
+
 def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
     """(text, item, window start) of the windows that agree with their item in any table."""
     hashes, item_of, offset_of = items.grams
@@ -185,6 +195,8 @@ def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[li
         if raw[start : start + len(pattern)] == pattern:
             a, edits, end = start, 0, len(pattern)
         else:
+            if not may_match(pattern, raw[a:b], most):
+                continue
             edits, end = best_end(pattern, raw[a:b])
             if edits > most:
                 continue
