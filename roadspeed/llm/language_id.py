@@ -1,8 +1,10 @@
 """Language identification with interpolated Kneser-Ney character models.
 
-Four-character sequences are counted by Spark over all training texts. Each language gets an interpolated Kneser-Ney
-model of order four, with continuation counts below; the models share one sorted array of 64-bit keys for each order
-(a key is four UTF-16 units, so it is a hash without collisions). A text gets the language of lowest cross-entropy per
+Four-character sequences are counted by Spark over all training texts, and all of them stay in the models. Each language
+gets an interpolated Kneser-Ney model of order four, with continuation counts below (a key is four UTF-16 units, so it is
+a hash without collisions). The models are made by Spark as one table of terms: the log probability of a character is the
+sum of the terms of its keys and contexts, where a missing term is 0. So terms go to the tasks in blocks of bounded size,
+each block against all texts, and the sums of the blocks are added. A text gets the language of lowest cross-entropy per
 character; the language's own training texts calibrate from which cross-entropy on a text is rejected.
 
 Null text, empty text and text without a letter is ``und`` with score 0. Null languages and null texts are not learned
@@ -19,7 +21,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadspeed.llm.texts import pieces
@@ -29,6 +31,7 @@ ORDER = 4
 UNKNOWN = "und"
 _HALF = 0xFFFD  # stands for half of a character beyond 16 bits
 _HELD = 1 << 21  # grams a task holds per language before it merges them
+_STEP = 1 << 14  # keys whose terms are added at a time
 
 
 @cache
@@ -151,7 +154,10 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def kneser_ney(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
-    """Interpolated Kneser-Ney models from the four-character counts (keys, counts) of each language."""
+    """Interpolated Kneser-Ney models from the four-character counts (keys, counts) of each language, in memory.
+
+    This is the plain method, which the tests hold the terms of ``model_terms`` against.
+    """
     langs = sorted(counts)
     tables: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [{} for _ in range(ORDER)]
     for lang in langs:
@@ -188,34 +194,121 @@ def kneser_ney(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
     return Models(langs, keys, logs, contexts, backoffs, np.log(unknown))
 
 
-def fit(
-    training: DataFrame, text_col: str = "text", lang_col: str = "lang", max_grams: int = 200_000,
-    max_cells: int = 16_000_000,
-) -> Models | None:
-    """Models of all languages of ``training``, or None without any.
+def _of_lang(values: list[float]) -> Column:
+    return F.element_at(F.array(*(F.lit(float(x)) for x in values)), F.col("j") + 1)
+
+
+def model_terms(grams: DataFrame, langs: list[str]) -> tuple[DataFrame, np.ndarray]:
+    """(kind, key, j, term) of the models of ``langs``, and the log probability of an unknown character under each.
 
-    All texts are counted. The models that go to the tasks are bounded: each language keeps its ``max_grams`` most
-    frequent sequences, fewer where (sequences x languages) of all would pass ``max_cells``.
+    Kind ``n`` holds what the key of order ``n`` adds to its back-off, kind ``ORDER + n`` the log back-off weight of a
+    context of order ``n``; ``j`` is the place of the language. A key's ending is in the table below, so the terms add up.
     """
+    j = (F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).cast("int").alias("j")
+    tables = {ORDER: grams.select(j, F.col("gram").alias("key"), F.col("n").cast("double").alias("number"))}
+    for n in range(ORDER - 1, 0, -1):  # how many different characters stand before
+        ending = F.col("key").bitwiseAND(F.lit((1 << 16 * n) - 1)).alias("key")
+        shorter = tables[n + 1].groupBy("j", ending).agg(F.count("*").cast("double").alias("number"))
+        tables[n] = materialise(shorter, "language-orders")
+    size = tables[1].select("key").distinct().count() + 1
+    terms, below = [], None
+    for n in range(1, ORDER + 1):
+        once, twice = (F.count(F.when(F.col("number") == x, 1)) for x in (1, 2))
+        rows = tables[n].groupBy("j").agg(once.alias("once"), twice.alias("twice")).collect()
+        of = {r["j"]: r["once"] / (r["once"] + 2 * r["twice"]) if r["once"] and r["twice"] else 0.5 for r in rows}
+        discount = _of_lang([of[i] for i in range(len(langs))])
+        table = tables[n].withColumn("context", F.shiftrightunsigned("key", 16))
+        context = table.groupBy("j", "context").agg(F.sum("number").alias("total"), F.count("*").alias("kinds"))
+        context = context.withColumn("weight", discount * F.col("kinds") / F.col("total"))
+        table = table.join(context, ["j", "context"])
+        if n == 1:
+            unknown = {r["j"]: np.log(r["weight"] / size) for r in context.collect()}
+            table = table.withColumn("low", F.lit(1 / size))
+        else:
+            terms.append(context.select(F.lit(ORDER + n).alias("kind"), F.col("context").alias("key"), "j", F.log("weight").alias("term")))
+            table = table.withColumn("ending", F.col("key").bitwiseAND(F.lit((1 << 16 * (n - 1)) - 1))).join(below, ["j", "ending"])
+        p = (F.col("number") - discount) / F.col("total") + F.col("weight") * F.col("low")
+        table = materialise(table.select("j", "key", "weight", "low", p.alias("p")), "language-probabilities")
+        term = F.log("p") - F.log("weight") - F.log("low")
+        terms.append(table.select(F.lit(n).alias("kind"), "key", "j", term.alias("term")))
+        below = table.select("j", F.col("key").alias("ending"), F.col("p").alias("low"))
+    every = terms[0]
+    for more in terms[1:]:
+        every = every.union(more)
+    return every, np.array([unknown[i] for i in range(len(langs))])
+
+
+@dataclass(frozen=True)
+class Terms:
+    """A block of terms: for each kind sorted keys, where the terms of each begin, and their languages and values."""
+
+    unknown: np.ndarray
+    kinds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+    def costs(self, grams: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Nats of the grams, each as often as in ``times``, under each language."""
+        out = -times.sum() * self.unknown
+        for kind, (keys, begins, langs, values) in self.kinds.items():
+            wanted = _suffix(grams, kind) if kind <= ORDER else _suffix(grams, kind - ORDER) >> np.uint64(16)
+            at, hit = _find(keys, wanted)
+            first, weight = begins[at[hit]], times[hit]
+            n = begins[at[hit] + 1] - first
+            for i in range(0, len(n), _STEP):
+                part = n[i : i + _STEP]
+                flat = np.repeat(first[i : i + _STEP] - np.cumsum(part) + part, part) + np.arange(part.sum())
+                out -= np.bincount(langs[flat], values[flat] * np.repeat(weight[i : i + _STEP], part), len(out))
+        return out
+
+
+def _block(rows: pa.Table, unknown: np.ndarray) -> Terms:
+    kind, key, lang, term = (rows.column(c).to_numpy() for c in ("kind", "key", "j", "term"))
+    key, kinds = key.view(np.uint64), {}
+    for k in np.unique(kind):
+        mine = np.flatnonzero(kind == k)
+        mine = mine[np.lexsort((lang[mine], key[mine]))]
+        keys, begins = np.unique(key[mine], return_index=True)
+        kinds[int(k)] = keys, np.append(begins, len(mine)), lang[mine], term[mine]
+    return Terms(unknown, kinds)
+
+
+@dataclass(frozen=True)
+class Fitted:
+    """Languages, the log probability of an unknown character under each, and the table of terms with their ``block``."""
+
+    langs: list[str]
+    unknown: np.ndarray
+    terms: DataFrame
+    n_blocks: int
+
+    def blocks(self) -> Iterator[Terms]:
+        for b in range(self.n_blocks):
+            yield _block(self.terms.filter(F.col("block") == b).toArrow(), self.unknown * (b == 0))
+
+
+def fit(
+    training: DataFrame, text_col: str = "text", lang_col: str = "lang", block_terms: int = 1 << 22,
+) -> Fitted | None:
+    """Models of all languages of ``training`` with all sequences, in blocks of about ``block_terms``; None without any."""
     grams = materialise(count_grams(training, text_col, lang_col), "language-grams")
-    n_langs = grams.select("lang").distinct().count()
-    if not n_langs:
+    langs = sorted(r["lang"] for r in grams.select("lang").distinct().collect())
+    if not langs:
         return None
-    limit = max(1, min(max_grams, max_cells // n_langs**2))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    found = grams.withColumn("rank", rank).filter(F.col("rank") <= limit).select("lang", "gram", "n").toPandas()
-    return kneser_ney(
-        {lang: (part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy()) for lang, part in found.groupby("lang")}
-    )
+    terms, unknown = model_terms(grams, langs)
+    terms = materialise(terms, "language-terms")
+    n_blocks = -(-terms.count() // block_terms)
+    block = F.pmod(F.xxhash64("kind", "key"), F.lit(n_blocks)).cast("int")
+    terms = terms.withColumn("block", block)
+    if n_blocks > 1:
+        terms = materialise(terms.repartition("block").sortWithinPartitions("block"), "language-blocks")
+    return Fitted(langs, unknown, terms, n_blocks)
 
 
-def cross_entropies(docs: DataFrame, models: Models, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, has_letter, costs): characters, and nats per character under each language."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def _costs_of_block(rows: DataFrame, terms: Terms) -> DataFrame:
+    shared = rows.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        width = len(models.langs)
+        terms = shared.value
+        width = len(terms.unknown)
         for batch in batches:
             for start, data, bounds in pieces(batch.column(1)):
                 keys, first, has_letter = grams_of_piece(data, bounds)
@@ -223,7 +316,7 @@ def cross_entropies(docs: DataFrame, models: Models, id_col: str, text_col: str)
                 for i in range(len(bounds) - 1):
                     if has_letter[i]:
                         grams, times = np.unique(keys[first[i] : first[i + 1]], return_counts=True)
-                        costs[i] = -(times @ models.log_probability(grams)) / times.sum()
+                        costs[i] = terms.costs(grams, times) / times.sum()
                 offsets = pa.array(np.arange(0, costs.size + 1, width, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -233,11 +326,38 @@ def cross_entropies(docs: DataFrame, models: Models, id_col: str, text_col: str)
                     names=["_id", "n", "has_letter", "costs"],
                 )
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"_id {kind}, n bigint, has_letter boolean, costs array<double>")
 
 
+def cross_entropies(docs: DataFrame, models: Fitted, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, has_letter, costs): characters, and nats per character under each language.
+
+    One pass over the texts for each block, written before the next block is read.
+    """
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    if models.n_blocks == 1:
+        return materialise(_costs_of_block(rows, next(models.blocks())), "language-costs")
+    row = F.struct("_id", F.xxhash64("_text").alias("text"), F.col("_text").isNull().alias("null"))
+    rows = rows.select(row.alias("_id"), "_text")
+    parts = [
+        materialise(_costs_of_block(rows, block).dropDuplicates(["_id"]), "language-costs").withColumn("block", F.lit(b))
+        for b, block in enumerate(models.blocks())
+    ]
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.union(more)
+    summed = every.groupBy("_id").agg(
+        F.first("n").alias("n"), F.first("has_letter").alias("has_letter"),
+        F.array_sort(F.collect_list(F.struct("block", "costs"))).alias("parts"),
+    )
+    zero = F.transform(F.col("parts")[0]["costs"], lambda _: F.lit(0.0))
+    costs = F.aggregate("parts", zero, lambda total, p: F.zip_with(total, p["costs"], lambda x, y: x + y))
+    summed = summed.select(F.col("_id").alias("_row"), "n", "has_letter", costs.alias("costs"))
+    out = rows.select("_id").join(summed, F.col("_id").eqNullSafe(F.col("_row")))
+    return materialise(out.select("_id._id", "n", "has_letter", "costs"), "language-costs")
+
+
 def _mapped(values: dict[str, float]) -> Column:
     """A map literal."""
     pairs = [F.lit(x) for pair in values.items() for x in pair]
@@ -246,17 +366,17 @@ def _mapped(values: dict[str, float]) -> Column:
 
 def identify(
     docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    deviations: float = 4.0,
+    deviations: float = 4.0, block_terms: int = 1 << 22,
 ) -> DataFrame:
     """``lang_pred``, ``score`` and ``accepted`` for every document, learned from ``training``.
 
     The limit of a language is the mean cross-entropy of its training texts plus ``deviations`` standard deviations. A
     text above it keeps its language as the best guess, with ``accepted`` false and a score that falls to 0.
     """
-    models = fit(training, text_col, lang_col)
+    models = fit(training, text_col, lang_col, block_terms)
     if models is None:
         return docs.select(id_col, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))
-    scored = materialise(cross_entropies(docs, models, id_col, text_col), "language-costs")
+    scored = cross_entropies(docs, models, id_col, text_col)
     cost = F.array_min("costs")
     langs = F.array(*(F.lit(x) for x in models.langs))
     best = F.when(F.col("has_letter"), langs[F.array_position("costs", cost).cast("int") - 1])

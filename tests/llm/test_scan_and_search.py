@@ -45,6 +45,27 @@ def test_unigrams_use_continuation_counts():
     assert followed[by_probability[0]] == max(followed.values())
 
 
+def test_models_of_many_languages_keep_every_gram(spark, docs_of):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(400)]
+    langs = [f"l{i:02}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=200)), lang) for i, lang in enumerate(langs)] + [(99, None, "l00"), (98, "", "l00")]
+    docs = docs_of(rows + rows[:1])
+    counts = {lang: np.unique(keys_of(text), return_counts=True) for _, text, lang in rows[1:60]}
+    counts["l00"] = (np.unique(keys_of(rows[0][1])), 2 * np.unique(keys_of(rows[0][1]), return_counts=True)[1])
+    plain = li.kneser_ney(counts)
+    for block_terms in (1 << 22, 40_000):  # one block of terms, and several
+        models = li.fit(docs, block_terms=block_terms)
+        assert models.langs == langs and (models.n_blocks > 1) == (block_terms < 1 << 22)
+        assert models.terms.filter("kind = 4").count() == sum(len(k) for k, _ in counts.values())
+        found = li.cross_entropies(docs, models, "doc_id", "text").collect()
+        assert sorted(r["_id"] for r in found) == sorted(i for i, *_ in rows + rows[:1])
+        for r in found:
+            if r["_id"] < 60:
+                grams = keys_of(rows[r["_id"]][1])
+                assert np.allclose(r["costs"], -plain.log_probability(grams).mean(axis=0), atol=1e-4)
+
+
 def test_held_out_languages(spark):
     found = QUERIES["op6_language_id"](spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id"
