@@ -1,12 +1,12 @@
-"""Benchmark decontamination by CGK embedding, bit-sampling LSH and edit verification.
+"""Benchmark decontamination by intact pieces of items and edit verification.
 
 Texts and items are compared in a normal form: letters A-Z folded, other ASCII runs that are no letters or digits as one
-space. Windows as long as an item stand where the text shares a ``q``-character string with it. The CGK random walk
-turns a window and its item into strings whose Hamming distance follows their edit distance; several tables, each with a
-few sampled positions of the walk, propose the pairs that agree on all positions of any table. Proposals are verified by
-the edit distance of the item to the text around the window, at most ``max_edits`` of the item's length.
+space. Each item is cut into pieces of a length taken from its own length and edit bound: ``k`` edits leave all but ``k``
+of the pieces intact, shifted by at most ``k`` against each other. So places where enough pieces of an item stand in line
+are proposed, which loses no passage, and verified by the edit distance of the item to the text around, at most
+``max_edits`` of the item's length.
 
-Null and empty texts and items match nothing. Items shorter than ``q`` must stand as whole words without any edit. Equal
+Null and empty texts and items match nothing. The passage of an item shorter than ``q`` must stand as whole words. Equal
 rows get equal results; an empty benchmark gives no hits. Only the named columns are read. Items go to the tasks in
 blocks of bounded size, each block against all texts.
 """
@@ -28,7 +28,7 @@ HITS = "array<struct<item:bigint,start:bigint,end:bigint,edits:int>>"
 _FORM = np.full(256, 32, np.uint8)
 _FORM[48:58], _FORM[97:123], _FORM[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
 _FORM[65:91] = np.arange(97, 123)
-WALK_PARTS, WALKS, TABLES, SAMPLES = 2, 3, 160, 4  # steps of a walk per character; walks; tables of each; positions
+_MATCHES = 1 << 22  # matches of pieces that are counted at a time
 
 
 def normal_form(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,64 +52,72 @@ class Items:
     texts: list[bytes]
     q: int
     max_edits: float
-    seed: int = 11
 
     @cached_property
     def sizes(self) -> np.ndarray:
         return np.array([len(t) for t in self.texts], np.int64)
 
     @cached_property
-    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(sorted hashes, item, offset) of every string of q characters."""
-        data = np.frombuffer(b"".join(self.texts), np.uint8)
-        ends = np.cumsum(self.sizes)
-        item = np.repeat(np.arange(len(self.texts)), self.sizes)
-        at = np.flatnonzero(ends[item] - np.arange(len(data)) >= self.q) if len(data) else np.empty(0, np.int64)
-        hashes = range_hash(prefix_hash(data), at, at + self.q)
-        order = np.argsort(hashes, kind="stable")
-        return hashes[order], item[at][order], (at - (ends - self.sizes)[item[at]])[order]
+    def bounds(self) -> np.ndarray:
+        """How many edits each item may have."""
+        return (self.max_edits * self.sizes).astype(np.int64)
 
     @cached_property
-    def maybe(self) -> np.ndarray:
-        """Which upper 22 bits occur among the hashes."""
-        found = np.zeros(1 << 22, bool)
-        found[(self.grams[0] >> np.uint64(42)).astype(np.int64)] = True
-        return found
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """(length of its pieces, how many of them are intact at least) of each item."""
+        length, need = np.zeros(len(self.sizes), np.int64), np.zeros(len(self.sizes), np.int64)
+        best = np.full(len(self.sizes), -1.0)
+        for size in range(self.q, 0, -1):
+            intact = self.sizes // size - self.bounds
+            worth = np.where(intact > 0, intact * max(0.0, size - 3.5), -1)
+            better = worth > best
+            length[better], need[better], best[better] = size, intact[better], worth[better]
+        return length, need
 
     @cached_property
-    def walks(self) -> list[np.ndarray]:
-        """(steps, items) for each of ``WALKS``: the walk of each item; short walks end in zeros."""
+    def grams(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(piece length, sorted hashes, item, offset, which upper 22 bits occur) for each length of pieces."""
         data = np.frombuffer(b"".join(self.texts), np.uint8)
-        ends = np.cumsum(self.sizes)
-        steps = WALK_PARTS * int(self.sizes.max())
-        return [embed(data, ends - self.sizes, ends, steps, self.seed + walk) for walk in range(WALKS)]
+        begins, prefix, out = np.cumsum(self.sizes) - self.sizes, prefix_hash(data), []
+        for length in np.unique(self.pieces[0][self.pieces[0] > 0]):
+            mine = np.flatnonzero(self.pieces[0] == length)
+            n = self.sizes[mine] // length
+            item = np.repeat(mine, n)
+            offset = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * length
+            at = begins[item] + offset
+            hashes = range_hash(prefix, at, at + length)
+            order = np.argsort(hashes, kind="stable")
+            maybe = np.zeros(1 << 22, bool)
+            maybe[(hashes >> np.uint64(42)).astype(np.int64)] = True
+            out.append((int(length), hashes[order], item[order], offset[order], maybe))
+        return out
+
+    def intact(self, i: int, text: bytes) -> bool:
+        """False if an item has fewer intact pieces of five, four or three characters in the text than the bound leaves."""
+        for need, cut in self._cuts(i):
+            there = {text[j : j + len(cut[0])] for j in range(len(text) - len(cut[0]) + 1)} if cut else ()
+            if sum(map(there.__contains__, cut)) < need:
+                return False
+        return True
+
+    def _cuts(self, i: int) -> list[tuple[int, list[bytes]]]:
+        if i not in self.cuts:
+            pattern, size = self.texts[i], len(self.texts[i])
+            self.cuts[i] = [
+                (size // n - self.edits(i), [pattern[j : j + n] for j in range(0, size - n + 1, n)]) for n in (5, 4, 3)
+            ]
+        return self.cuts[i]
 
     @cached_property
-    def tables(self) -> np.ndarray:
-        """(items, TABLES, SAMPLES): the sampled steps, within the length of each item's walk."""
-        share = np.random.default_rng(self.seed).random((TABLES, SAMPLES))
-        return (share[None] * (WALK_PARTS * self.sizes)[:, None, None]).astype(np.int32)
+    def cuts(self) -> dict[int, list[tuple[int, list[bytes]]]]:
+        return {}
 
     @cached_property
     def short(self) -> list[int]:
         return np.flatnonzero((self.sizes < self.q) & (self.sizes > 0)).tolist()
 
     def edits(self, i: int) -> int:
-        return int(self.max_edits * self.sizes[i])
-
-
-def embed(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, steps: int, seed: int) -> np.ndarray:
-    """(steps, windows): what the random walk over each window prints; 0 after its end."""
-    rng = np.random.default_rng(seed + 1)
-    move = rng.integers(0, 2, (steps, 256), dtype=np.int64)
-    padded = np.append(data, np.uint8(0))
-    at, out = starts.copy(), np.zeros((steps, len(starts)), np.uint8)
-    for step in range(steps):
-        char = padded[np.minimum(at, len(data))]
-        char[at >= stops] = 0
-        out[step] = char
-        at += move[step][char]
-    return out
+        return int(self.bounds[i])
 
 
 def best_end(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -142,39 +150,50 @@ def may_match(pattern: bytes, text: bytes, most: int, q: int = 5) -> bool:
     return sum(pattern[i : i + q] in there for i in range(len(pattern) - q + 1)) >= need
 
 
-def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
-    """(text, item, window start) of the windows that agree with their item in any table."""
-    hashes, item_of, offset_of = items.grams
-    if len(data) < items.q or not len(hashes):
-        return
-    at = np.arange(len(data) - items.q + 1)
-    own = range_hash(prefix_hash(data), at, at + items.q)
-    at = np.flatnonzero(items.maybe[(own >> np.uint64(42)).astype(np.int64)])
-    lo, hi = np.searchsorted(hashes, own[at], "left"), np.searchsorted(hashes, own[at], "right")
-    at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
-    flat = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(at) else at
-    item, place = item_of[flat], np.repeat(at, n)
-    text = np.searchsorted(bounds, place, "right") - 1
-    whole = place + items.q <= bounds[text + 1]
-    item, text = item[whole], text[whole]
-    start = np.maximum(place[whole] - offset_of[flat][whole], bounds[text])
-    if not len(item):
-        return
-    found = np.unique(np.stack([item, start, text]), axis=1)
-    for j in range(0, found.shape[1], 2048):
-        item, start, text = found[:, j : j + 2048]
-        size = items.sizes[item]
-        stops = np.minimum(start + size, bounds[text + 1])
-        steps, column = WALK_PARTS * int(size.max()), np.arange(len(item))[:, None]
-        proposed = np.zeros(len(item), bool)
-        for walk, own in enumerate(items.walks):
-            alike = embed(data, start, stops, steps, items.seed + walk) == own[:steps, item]
-            agree = np.ones((len(item), TABLES), bool)
-            for sample in range(SAMPLES):
-                agree &= alike[items.tables[item, :, sample], column]
-            proposed |= agree.any(axis=1)
-        for k in np.flatnonzero(proposed):
-            yield int(text[k]), int(item[k]), int(start[k])
+def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first, last): where a passage of the item may start in the text. Starts are counted in bands of
+    ``k + 1`` places, and two bands side by side hold all intact pieces of a passage."""
+    prefix = prefix_hash(data)
+    for length, hashes, item_of, offset_of, maybe in items.grams:
+        at = np.arange(max(0, len(data) - length + 1))
+        own = range_hash(prefix, at, at + length)
+        at = np.flatnonzero(maybe[(own >> np.uint64(42)).astype(np.int64)])
+        lo, hi = np.searchsorted(hashes, own[at], "left"), np.searchsorted(hashes, own[at], "right")
+        at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+        ends, i = np.cumsum(n), 0
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+        while i < len(at):
+            j = max(i + 1, int(np.searchsorted(ends, ends[i] - n[i] + _MATCHES, "right")))
+            part = n[i:j]
+            flat = np.repeat(lo[i:j] - np.cumsum(part) + part, part) + np.arange(part.sum())
+            item = item_of[flat]
+            start = np.repeat(at[i:j], part) - offset_of[flat] + (1 << 24)  # items are shorter
+            counted.append(np.unique((item << 32) | start // (items.bounds[item] + 1), return_counts=True))
+            i = j
+        if not counted:
+            continue
+        bands, found = counted[0]
+        if len(counted) > 1:
+            bands, back = np.unique(np.concatenate([x for x, _ in counted]), return_inverse=True)
+            found = np.bincount(back, np.concatenate([x for _, x in counted]))
+        # a band counts with the one after it, and with the one before it where that one is empty
+        beside = np.append(bands[1:] == bands[:-1] + 1, False)
+        both = found + np.where(beside, np.append(found[1:], 0), 0)
+        alone = np.append(True, ~beside[:-1])
+        item = bands >> 32
+        need = items.pieces[1][item]
+        enough = np.flatnonzero((both >= need) | (alone & (found >= need)))
+        for k in enough:
+            i = int(item[k])
+            width = items.edits(i) + 1
+            first = int(bands[k] & 0xFFFFFFFF) * width - (1 << 24)
+            last = first + 2 * width - 1
+            most, size = width - 1, int(items.sizes[i])
+            text = max(0, int(np.searchsorted(bounds, first - most, "right")) - 1)
+            while text < len(bounds) - 1 and bounds[text] <= last + most:
+                if bounds[text + 1] - bounds[text] >= size - most:
+                    yield text, i, first, last
+                text += 1
 
 
 def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[list[tuple[int, int, int, int]]]:
@@ -186,22 +205,28 @@ def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[li
     def place(text: int, a: int, b: int) -> tuple[int, int]:
         return int(places[a] - bounds[text]), int(places[b - 1] + 1 - bounds[text])
 
+    def clear(text: int, at: int, end: int) -> bool:
+        return (at == edges[text] or raw[at - 1] == 32) and (end == edges[text + 1] or raw[end : end + 1] == b" ")
+
     sure: dict[tuple[int, int], int] = {}
-    for text, i, start in _proposals(form, edges, items):
-        if start < sure.get((text, i), -1):
-            continue  # inside a hit of the same item
+    for text, i, first, last in _proposals(form, edges, items):
         pattern, most = items.texts[i], items.edits(i)
-        a, b = max(int(edges[text]), start - most), min(int(edges[text + 1]), start + len(pattern) + most)
-        if raw[start : start + len(pattern)] == pattern:
-            a, edits, end = start, 0, len(pattern)
+        if last < sure.get((text, i), -1) - most:
+            continue  # inside a hit of the same item
+        a, b = max(int(edges[text]), first - most), min(int(edges[text + 1]), last + len(pattern) + most)
+        at = raw.find(pattern, a, b)
+        if at >= 0:
+            a, edits, end = at, 0, len(pattern)
         else:
-            if not may_match(pattern, raw[a:b], most):
+            if not items.intact(i, raw[a:b]) or not may_match(pattern, raw[a:b], most):
                 continue
             edits, end = best_end(pattern, raw[a:b])
             if edits > most:
                 continue
             back = best_end(pattern[::-1], raw[a : a + end][::-1])[1]
             a, end = a + end - back, back
+        if a < sure.get((text, i), -1) or len(pattern) < items.q and not (edits and clear(text, a, a + end)):
+            continue
         sure[text, i] = a + end
         out[text].append((items.numbers[i], *place(text, a, a + end), edits))
     for i in items.short:
@@ -211,8 +236,7 @@ def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[li
             text = int(np.searchsorted(edges, at, "right")) - 1
             end = at + len(pattern)
             inside = end <= edges[text + 1]
-            clear = (at == edges[text] or raw[at - 1] == 32) and (end == edges[text + 1] or raw[end : end + 1] == b" ")
-            if inside and clear:
+            if inside and clear(text, at, end):
                 out[text].append((items.numbers[i], *place(text, at, end), 0))
             at = raw.find(pattern, at + 1)
     return out

@@ -201,6 +201,22 @@ def test_leaks_reach_the_target_recall(spark, docs_of):
     assert rows[0][1].encode()[h["start"] : h["end"]].decode() == items[want[0]].strip(" .!?") and h["edits"] == 0
 
 
+@pytest.mark.parametrize("spread", [True, False])
+def test_no_passage_within_the_bound_is_lost(spread):
+    rng = random.Random(7)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400))
+    items = [bytes(text[:size], "ascii") for size in range(8, 401, 7)]
+    for i, item in enumerate(items):
+        most = int(0.15 * len(item))
+        places = [int((k + 1) * len(item) / (most + 1)) for k in range(most)] if spread else rng.sample(range(1, len(item) - 1), most)
+        copy = bytearray(item)
+        for k in places:
+            copy[k] = ord("9")
+        data = np.frombuffer(b"some words before " + bytes(copy) + b" and after", np.uint8)
+        found = dc.hits_of_piece(data, np.array([0, len(data)]), dc.Items([i], [item], 12, 0.15))
+        assert [h[0] for h in found[0]] == [i] and found[0][0][3] <= most, len(item)
+
+
 def test_clean_documents_have_no_leak(spark, odd):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = [r.text for r in bench.collect()]
