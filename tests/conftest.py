@@ -1,5 +1,5 @@
 import sys
-from datetime import datetime, timedelta
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
@@ -7,6 +7,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from series_helpers import START, slots  # noqa: E402
+
 from roadspeed.session import adopt  # noqa: E402
 
 
@@ -26,13 +28,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-START = datetime(2025, 11, 13)
-
-
-def slots(n, start=START, step=timedelta(minutes=5)):
-    return [start + i * step for i in range(n)]
-
-
 @pytest.fixture
 def series(spark):
     """series({"a": [1.0, None, ...]}): one slot per value from START on."""

@@ -6,10 +6,10 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import START, slots
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from series_helpers import START, slots
 
 from roadspeed.operators import complete_grid, dedupe_mean, five_channels, impute, impute_rolling, impute_seasonal
 from roadspeed.operators import grid as grid_module

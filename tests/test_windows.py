@@ -6,8 +6,8 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import START, slots
 from pyspark.sql import functions as F
+from series_helpers import START, slots
 
 from roadspeed.operators import (
     add_target, build_sequences, exact_percentile, expand_channels, fit_scaler, five_channels, restrict_links,
