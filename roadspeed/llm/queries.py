@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspeed.llm import (
-    decontaminate, language_id, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, secret_scan, sharding,
-    suffix_dedup,
+    decontaminate, language_id, line_dedup, mixing, ngram_join, periodic_runs, quality_classifier, quality_rules,
+    secret_scan, sharding, suffix_dedup,
 )
-from roadspeed.llm.texts import crc_of_id
+from roadspeed.llm.texts import WORD, crc_of_id
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +83,31 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _repeated(doc_id: str, text: Column) -> Column:
+    """Texts of one id in ten with the words from some place on replaced by repeats of the first of them."""
+    hashed = crc_of_id(doc_id)
+    rest = F.floor(hashed / 10)
+    words = F.when(hashed % 10 == 0, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    n = F.size(words)
+    at = (rest % n).cast("int")
+    period = (1 + F.floor((n - at) / (3 + rest % 8))).cast("int")
+    times = F.ceil((n - at) / period).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, at + 1, period), times)), F.lit(1), n - at)
+    return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), at), again), " ")).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", _repeated("doc_id", F.col("text")).alias("text")))
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    milli = F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("bigint")
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        milli.alias("exponent_milli"), F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -94,4 +119,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_decontaminate": op10_decontaminate,
+    "op13_periodic_runs": op13_periodic_runs,
 }
