@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadspeed.llm import (
-    decontaminate, language_id, line_dedup, mixing, ngram_join, periodic_runs, quality_classifier, quality_rules,
-    secret_scan, sharding, suffix_dedup,
+    decontaminate, language_id, line_dedup, mixing, ngram_join, packing, periodic_runs, quality_classifier,
+    quality_rules, secret_scan, sharding, suffix_dedup, whitening,
 )
 from roadspeed.llm.texts import WORD, crc_of_id
 
@@ -83,6 +83,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors, components=16, scale=64.0, shift=1_000_000)
+    return whitening.by_component(whitening.transform(vectors, model), model)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 def _repeated(doc_id: str, text: Column) -> Column:
     """Texts of one id in ten with the words from some place on replaced by repeats of the first of them."""
     hashed = crc_of_id(doc_id)
@@ -119,5 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_sharding": op9_sharding,
     "op10_decontaminate": op10_decontaminate,
+    "op11_whitening": op11_whitening,
+    "op12_packing": op12_packing,
     "op13_periodic_runs": op13_periodic_runs,
 }
