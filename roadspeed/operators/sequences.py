@@ -10,7 +10,8 @@ Input has one row per link and time.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from datetime import timedelta
 from functools import reduce
 
@@ -23,8 +24,8 @@ from roadspeed.operators.gold import CHANNELS
 from roadspeed.operators.grid import timed
 from roadspeed.operators.readings import filter_links
 from roadspeed.operators.scale import Moments, fit_scaler
-from roadspeed.operators.split import within
-from roadspeed.session import materialise
+from roadspeed.operators.split import to_micros
+from roadspeed.session import Scratch
 
 _WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -88,12 +89,60 @@ def add_target(
     return _with_target(rows, _next_values(rows, value, horizon, key), value, horizon, key, out).select(*df.columns, out)
 
 
-def build_sequences(
+@dataclass(frozen=True)
+class WindowStore:
+    """Windows in packed form: a row per link and chunk, and each window is a slice of it.
+
+    ``chunks`` has the link, ``at`` (times of the chunk's rows in microseconds), ``y`` (their targets), ``z`` (standardised
+    values of ``before`` earlier rows and of the chunk's own; a list of channels each, or plain numbers for one channel) and
+    ``pos``, the rows that end a complete window. So a value is stored about once, however long the windows are.
+    """
+
+    chunks: DataFrame
+    seq_len: int
+    channels: int
+    key: str
+    scratch: Scratch
+
+    def _ends(self, end_range: Moments | None) -> Column:
+        """The rows that end a window, counted from 0, whose time lies in the range."""
+        if end_range is None:
+            return F.col("pos")
+        first, last = (to_micros(moment) for moment in end_range)
+        return F.filter("pos", lambda p: F.get("at", p).between(first, last))
+
+    def _exploded(self, end_range: Moments | None, **fields: Callable[[Column], Column]) -> DataFrame:
+        # Built before the generator: beside it, whole chunks would be copied for each window.
+        windows = F.transform(self._ends(end_range), lambda p: F.struct(*[f(p).alias(n) for n, f in fields.items()]))
+        return self.chunks.select(self.key, F.explode(windows).alias("_w")).select(self.key, "_w.*")
+
+    def windows(self, end_range: Moments | None = None) -> DataFrame:
+        """linkid, end_time, x, y: one row per window that ends in the range."""
+        return self._exploded(
+            end_range,
+            end_time=lambda p: F.timestamp_micros(F.get("at", p)),
+            x=lambda p: F.slice("z", F.col("before") + p + F.lit(2 - self.seq_len), F.lit(self.seq_len)),
+            y=lambda p: F.get("y", p),
+        )
+
+    def targets(self, end_range: Moments | None = None) -> DataFrame:
+        """linkid, end_time, y of the same windows, without making them."""
+        return self._exploded(end_range, end_time=lambda p: F.timestamp_micros(F.get("at", p)), y=lambda p: F.get("y", p))
+
+    def counts(self, *ranges: Moments) -> list[int]:
+        """The number of windows that end in each range, in one pass over the chunks."""
+        sums = [F.coalesce(F.sum(F.size(self._ends(r))), F.lit(0)).alias(f"n{i}") for i, r in enumerate(ranges)]
+        return list(self.chunks.agg(*sums).first())
+
+    def release(self) -> None:
+        self.scratch.release()
+
+
+def window_store(
     df: DataFrame,
     seq_len: int = 36,
     horizon: int = 1,
     fit_range: Moments | None = None,
-    end_range: Moments | None = None,
     links: DataFrame | Iterable[str] | None = None,
     cols: Iterable[str] = CHANNELS,
     value: str = "self_mean",
@@ -101,18 +150,15 @@ def build_sequences(
     ts: str = "datetime",
     chunk: str | timedelta = "1 day",
     scaler: DataFrame | None = None,
-) -> DataFrame:
-    """linkid, end_time, x, y (float): one row per window.
-
-    ``x`` is [seq_len][channels] float; with a single column it is a flat [seq_len].
+) -> WindowStore:
+    """The windows of the series, written once in packed form.
 
     Values are standardised per link with a scaler fitted on ``fit_range`` (or the one given). Rows
     without a future value are removed first, then windows run over the rows that remain, so a
-    window may bridge a gap. Only the window's last time is tested against ``end_range``. Windows
-    with a value that is not a finite number are left out.
+    window may bridge a gap. Windows with a value that is not a finite number are left out.
 
     Rows of a chunk are packed into one array (288 rows for a day of 5-minute slots), to which the
-    tail of earlier chunks is prepended; each window is a slice of it.
+    tail of earlier chunks is prepended.
     """
     _check(horizon, seq_len)
     cols = list(cols)
@@ -145,8 +191,10 @@ def build_sequences(
         )
     )
 
-    # Written once: the tails and the windows both read it, and nothing above it runs twice.
-    packed = materialise(packed, "packed")
+    # Written for the time of the second step: the tails and the chunks both read it, and nothing above it runs twice.
+    spark = df.sparkSession
+    passing, scratch = Scratch(spark), Scratch(spark)
+    packed = passing.materialise(packed, "packed")
 
     # A chunk's history is the tails of those earlier chunks that end less than L - 1 rows before it, so the frame holds
     # at most twice that many rows, whatever the chunks hold.
@@ -161,26 +209,45 @@ def build_sequences(
     history = tails.select(key, "_chunk", F.flatten(F.collect_list("_tail").over(near)).alias("_history"))
     previous = history.select(key, "_chunk", _last(F.col("_history"), seq_len - 1).alias("_previous"))
 
-    whole = packed.join(previous, [key, "_chunk"]).select(
-        key, "_rows", F.size("_previous").alias("_before"), F.concat("_previous", "_rows").alias("_all")
-    )
-    # Taken apart below the generator: beside it, they would be evaluated once per window.
-    series = whole.select(
-        key, "_before", "_rows",
-        F.transform("_all", lambda r: r["z"]).alias("_z"), F.transform("_all", lambda r: r["ok"]).alias("_ok"),
-    )
-    windows = (
-        series.select(key, "_before", "_z", "_ok", F.posexplode("_rows").alias("_pos", "_row"))
-        .withColumns({"end_time": F.timestamp_micros("_row.us"), "_start": F.col("_before") + F.col("_pos") + (2 - seq_len)})
-        .filter((F.col("_start") >= 1) & is_finite("_row.y"))
-    )
-    if end_range is not None:
-        windows = windows.filter(within("end_time", end_range))
-    complete = ~F.array_contains(F.slice("_ok", F.col("_start"), F.lit(seq_len)), False)
-    return windows.filter(complete).select(
-        key, "end_time", F.slice("_z", F.col("_start"), F.lit(seq_len)).alias("x"), F.col("_row.y").alias("y")
+    whole = packed.join(previous, [key, "_chunk"]).withColumn("_all", F.concat("_previous", "_rows")).select(
+        key, F.transform("_rows", lambda r: r["us"]).alias("at"), F.transform("_rows", lambda r: r["y"]).alias("y"),
+        F.transform("_all", lambda r: r["z"]).alias("z"), F.transform("_all", lambda r: r["ok"]).alias("_ok"),
+        F.size("_previous").alias("before"),
     )
 
+    def ends_window(p: Column) -> Column:
+        start = F.col("before") + p + F.lit(2 - seq_len)
+        inside = F.slice("_ok", F.greatest(start, F.lit(1)), F.lit(seq_len))
+        return (start >= 1) & is_finite(F.get("y", p)) & ~F.array_contains(inside, False)
+
+    ends = F.filter(F.sequence(F.lit(0), F.size("at") - 1), ends_window)
+    stored = scratch.materialise(whole.select(key, "at", "y", "z", "before", ends.alias("pos")), "windows")
+    passing.release()
+    return WindowStore(stored, seq_len, len(cols), key, scratch)
+
+
+def build_sequences(
+    df: DataFrame,
+    seq_len: int = 36,
+    horizon: int = 1,
+    fit_range: Moments | None = None,
+    end_range: Moments | None = None,
+    links: DataFrame | Iterable[str] | None = None,
+    cols: Iterable[str] = CHANNELS,
+    value: str = "self_mean",
+    key: str = "linkid",
+    ts: str = "datetime",
+    chunk: str | timedelta = "1 day",
+    scaler: DataFrame | None = None,
+) -> DataFrame:
+    """linkid, end_time, x, y (float): one row per window of ``window_store``.
+
+    ``x`` is [seq_len][channels] float; with a single column it is a flat [seq_len]. Only the window's last time is tested
+    against ``end_range``. The windows are cut from the store whenever the frame is read.
+    """
+    store = window_store(df, seq_len, horizon, fit_range, links, cols, value, key, ts, chunk, scaler)
+    return store.windows(end_range)
+
 
 def _last(items: Column, n: int) -> Column:
     return F.slice(items, F.greatest(F.size(items) - (n - 1), F.lit(1)), n)

@@ -41,8 +41,9 @@ class LakeConfig:
 
 @dataclass(frozen=True)
 class TrainConfig:
-    """Settings of the forecasting data and model."""
+    """Settings of the forecasting data and model. ``value`` is forecast from the past of ``channels``."""
 
+    # Window and horizon, split, threshold and trailing days.
     seq_len: int = 36
     horizon: int = 1
     val_days: int = 30
@@ -52,7 +53,20 @@ class TrainConfig:
     chunk: str | None = None
     threshold_pct: float = 25.0
     window_days: int = 30
-    max_iter: int = 20
+    rounds: int = 12
+    patience: int | None = 4
+    channels: tuple[str, ...] = ("self_mean",)
+    value: str = "self_mean"
+
+    @property
+    def measures(self) -> list[str]:
+        """The columns that are filled and scaled."""
+        return list(dict.fromkeys([*self.channels, self.value]))
+
+    @property
+    def own_channel(self) -> int:
+        """The place of ``value`` among the channels, whose last value is the first guess; the first if it is none."""
+        return self.channels.index(self.value) if self.value in self.channels else 0
 
     @property
     def span(self) -> timedelta:

@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadspeed.operators.consensus import LinearForecast
 from roadspeed.plans.config import LakeConfig, TrainConfig
 from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold
 from roadspeed.plans.training import prepare_series, train_and_score, training_set
+from roadspeed.session import Scratch
 from roadspeed.sinks import WriteReport, land_zip, metrics_table, params_table, write_run
 from roadspeed.sources import day_list
 from roadspeed.functions import trailing_range
@@ -22,6 +24,7 @@ class DayResult:
     bronze: WriteReport
     silver: WriteReport
     scores: DataFrame
+    best_step: int
 
 
 def land_days(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> DataFrame:
@@ -32,9 +35,9 @@ def land_days(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -> Dat
     return landed
 
 
-def model_path(cfg: LakeConfig, run_id: str) -> str:
-    """Where the fitted model of a run is kept; ``LinearRegressionModel.load`` reads it."""
-    return f"{cfg.zone('models')}/{run_id}"
+def fitted_model(spark: SparkSession, cfg: LakeConfig, run_id: str) -> LinearForecast:
+    """The model that a run has kept."""
+    return LinearForecast.from_table(spark.read.parquet(cfg.zone("models")).filter(F.col("run_id") == run_id))
 
 
 def run_range(spark: SparkSession, cfg: LakeConfig, train: TrainConfig, start: str, end: str) -> DayResult:
@@ -44,25 +47,22 @@ def run_range(spark: SparkSession, cfg: LakeConfig, train: TrainConfig, start: s
     silver = bronze_to_silver(spark, cfg, start, end)
     silver_to_gold(spark, cfg, start, end)
     first, last = spark.range(1).select(*trailing_range(F.lit(end), train.window_days)).first()
-    data = training_set(prepare_series(gold_rows(spark, cfg, first, last), train), train)
-    model, scores = train_and_score(data, train)
+    scratch = Scratch(spark)
+    data = training_set(prepare_series(gold_rows(spark, cfg, first, last), train, scratch), train)
+    fitted, scores = train_and_score(data, train)
     run_id = f"{first}-{last}"
-    model.write().overwrite().save(model_path(cfg, run_id))
-    flat = (
-        scores.filter("model = 'huber'")
-        .groupBy(F.lit(1).alias("step"))
-        .pivot("side", ["train", "validation"])
-        .agg(F.first("mae").alias("mae"), F.first("f1").alias("f1"))
-        .withColumnsRenamed({"validation_mae": "val_mae", "validation_f1": "val_f1"})
-        .withColumns({
-            "thr_z": F.lit(data.threshold),
-            "train_samples": F.lit(data.train_samples),
-            "val_samples": F.lit(data.val_samples),
-        })
-    )
-    write_run(metrics_table(flat, run_id), cfg.zone("metrics"))
+    write_run(fitted.model.table(spark, run_id), cfg.zone("models"))
+    steps = fitted.frame(spark).withColumns({
+        "thr_z": F.lit(data.threshold),
+        "train_samples": F.lit(data.train_samples),
+        "val_samples": F.lit(data.val_samples),
+    })
+    write_run(metrics_table(steps, run_id), cfg.zone("metrics"))
     write_run(params_table(spark, run_id, {**vars(train), "start_date": first, "end_date": last}), cfg.zone("params"))
-    return DayResult(landed, bronze, silver, scores)
+    scores = spark.createDataFrame(scores.collect(), scores.schema)  # a row for each model and side
+    data.release()
+    scratch.release()
+    return DayResult(landed, bronze, silver, scores, fitted.best)
 
 
 def run_day(spark: SparkSession, cfg: LakeConfig, day: str, train: TrainConfig = TrainConfig()) -> DayResult:

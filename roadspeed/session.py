@@ -75,6 +75,36 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run below the shared folder; ``release`` removes them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def materialise(self, df: DataFrame, label: str) -> DataFrame:
+        """As the function of this name, and remembered."""
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Remove the tables; frames that read them fail from then on."""
+        while self.paths:
+            place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+    def size(self) -> int:
+        """Bytes that the tables hold."""
+        total = 0
+        for path in self.paths:
+            place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            store = place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            total += store.getContentSummary(place).getLength()
+        return total
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with scheme and authority, as Spark resolves it; for use inside tasks."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

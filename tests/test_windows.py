@@ -248,17 +248,17 @@ def test_training_set_flags_and_scores(series):
     day = 288
     base = [float(50 + 10 * np.sin(i / 20) + rng.normal()) for i in range(3 * day)]
     df = series({"a": base, "b": base[::-1]}).union(series({"late": base[:100]}, start=START + timedelta(days=2, hours=12)))
-    cfg = TrainConfig(val_days=1, seq_len=12, max_iter=5)
+    cfg = TrainConfig(val_days=1, seq_len=12, rounds=5)
     data = training_set(df, cfg)
     assert {r.linkid for r in data.sequences.select("linkid").distinct().collect()} == {"a", "b"}
     assert data.train.count() == data.train_samples and data.validation.count() == data.val_samples
     assert data.threshold == pytest.approx(np.percentile([r.y for r in data.train.collect()], 25), rel=1e-9)
     last_train = data.train.agg(F.max(F.unix_micros("end_time"))).first()[0]
     assert last_train == data.fit_range[1] and data.val_range[0] > last_train
-    assert np.array(data.widened().sequences.first().x).shape == (12, 5)
+    assert np.array(expand_channels(data.sequences).first().x).shape == (12, 5)
     _, scores = train_and_score(data, cfg)
     got = {(r.model, r.side): r for r in scores.collect()}
-    assert len(got) == 4 and got[("huber", "validation")].mae < 0.5
+    assert len(got) == 4 and got[("l1", "validation")].mae < 0.5
 
 
 def test_training_set_without_windows(series):

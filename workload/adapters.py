@@ -49,6 +49,16 @@ def gold_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(raw_by_type(spark, sf_dir)).select("date", "datetime", "linkid", "self_mean")
 
 
+def channels_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five different measures per event type and slot; the last one has gaps of its own."""
+    k = F.get_json_object("props", "$.k").cast("double")
+    slot = F.window(F.col("ts").cast("timestamp"), "5 minutes")["start"]
+    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("linkid"), slot.alias("datetime")).agg(
+        F.min("value").alias("t2_mean"), F.max("value").alias("t1_mean"), F.avg("value").alias("self_mean"),
+        F.avg(k).alias("f1_mean"), F.avg(F.when(k % 2 == 1, F.col("value"))).alias("f2_mean"),
+    )
+
+
 def price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices per supplier and ship date: many links on a daily grid."""
     return table(spark, sf_dir, "lineitem").select(

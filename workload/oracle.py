@@ -104,6 +104,57 @@ _WINDOW_SCALARS = """
            round(last_z, 4) AS last_z, round(sum_z, 4) AS sum_z, round(y, 4) AS y, train, validation
     FROM samples"""
 
+# Five different measures: each is gridded, filled, scaled and windowed like the one above.
+_FIVE = ("t2_mean", "t1_mean", "self_mean", "f1_mean", "f2_mean")
+
+
+def _each(text: str) -> str:
+    return ", ".join(text.format(c=c) for c in _FIVE)
+
+
+PARTS |= {
+    "gold5": """
+        SELECT event_type AS linkid, slot AS datetime, min(value) AS t2_mean, max(value) AS t1_mean, avg(value) AS self_mean,
+               avg(k) AS f1_mean, avg(value) FILTER (k % 2 = 1) AS f2_mean
+        FROM raw GROUP BY ALL""",
+    "grid5": f"""
+        SELECT s.linkid, s.datetime, {_each("g.{c}")}
+        FROM (SELECT linkid, unnest(generate_series(min(datetime), max(datetime), INTERVAL '5 minutes')) AS datetime
+              FROM gold5 GROUP BY linkid) s
+        LEFT JOIN gold5 g USING (linkid, datetime)""",
+    "rolled5": f"""
+        SELECT linkid, datetime, {_each("coalesce({c}, avg({c}) OVER w) AS {c}")} FROM grid5
+        WINDOW w AS (PARTITION BY linkid ORDER BY epoch_us(datetime)
+                     RANGE BETWEEN 929999999 PRECEDING AND 930000000 FOLLOWING)""",
+    "series5": f"""
+        SELECT linkid, datetime, {_each("coalesce({c}, avg({c}) OVER w) AS {c}")} FROM rolled5
+        WINDOW w AS (PARTITION BY linkid, isodow(datetime), strftime(datetime, '%H:%M'))""",
+    "sides5": """
+        SELECT *, datetime < (SELECT max(datetime) - INTERVAL '7 days' FROM series5) AS in_train FROM series5""",
+    "bounds5": """
+        SELECT min(datetime) FILTER (in_train) AS t0, max(datetime) FILTER (in_train) AS t1,
+               min(datetime) FILTER (NOT in_train) AS v0, max(datetime) FILTER (NOT in_train) AS v1 FROM sides5""",
+    "scaler5": f"""
+        SELECT linkid, {_each("coalesce(avg({c}), 0) AS mu_{c}")},
+               {_each("CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1 ELSE stddev_pop({c}) END AS sd_{c}")}
+        FROM series5, bounds5 WHERE datetime BETWEEN t0 AND t1 GROUP BY linkid""",
+    "targets5": f"""
+        SELECT s.linkid, datetime, {_each("(({c} - mu_{c}) / sd_{c})::FLOAT::DOUBLE AS z_{c}")},
+               ((lead(self_mean) OVER (PARTITION BY s.linkid ORDER BY datetime) - mu_self_mean)
+                / sd_self_mean)::FLOAT::DOUBLE AS y
+        FROM series5 s JOIN scaler5 c ON s.linkid = c.linkid""",
+    "placed5": """
+        SELECT *, row_number() OVER (PARTITION BY linkid ORDER BY datetime) AS rn FROM targets5 WHERE y IS NOT NULL""",
+    "windows5": f"""
+        SELECT linkid, datetime AS end_time, y, count(*) OVER w AS length,
+               {" + ".join(f"count(z_{c}) OVER w" for c in _FIVE)} AS filled,
+               {_each("first_value(z_{c}) OVER w AS first_{c}, z_{c} AS last_{c}")},
+               {_each("sum(rn * z_{c}) OVER w - (rn - 36) * sum(z_{c}) OVER w AS sum_{c}")}
+        FROM placed5 WINDOW w AS (PARTITION BY linkid ORDER BY datetime ROWS BETWEEN 35 PRECEDING AND CURRENT ROW)""",
+}
+_SERIES5 = ["raw", "gold5", "grid5", "rolled5", "series5"]
+_WINDOWS5 = [*_SERIES5, "sides5", "bounds5", "scaler5", "targets5", "placed5", "windows5"]
+
 _DAY_TOTALS = "SELECT date, count(*) AS rows, round(sum(value), 2) AS total FROM raw GROUP BY date"
 
 _DIRTY = """
@@ -132,9 +183,6 @@ ORACLE: dict[str, str] = {
         SELECT date, slot AS datetime, linkid, avg(value)::FLOAT::DOUBLE AS self_mean FROM ({_DIRTY}) GROUP BY ALL""",
     "gold_plan": f"""
         SELECT date, slot AS datetime, linkid, avg(value)::FLOAT::DOUBLE AS self_mean FROM ({_DIRTY}) GROUP BY ALL""",
-    "forecast_eval": _sql([*_SAMPLES, "threshold"], """
-        SELECT count(*) AS n, count(*) FILTER (y <= thr) AS positives, true AS better
-        FROM samples, threshold WHERE validation"""),
     "day_run": _sql([*_SAMPLES, "threshold"], """
         , sides_of AS (
             SELECT 'train' AS side, y, last_z FROM samples WHERE train
@@ -143,7 +191,7 @@ ORACLE: dict[str, str] = {
             SELECT side, count(*) AS n, count(*) FILTER (y <= thr) AS positives, round(avg(abs(last_z - y)), 4) AS mae
             FROM sides_of, threshold GROUP BY side)
         SELECT 'persistence' AS model, side, n, positives, mae FROM counted
-        UNION ALL SELECT 'huber', side, n, positives, NULL FROM counted"""),
+        UNION ALL SELECT 'l1', side, n, positives, NULL FROM counted"""),
     "zip_members": _sql(["raw"], "SELECT date, count(*) AS rows FROM raw GROUP BY date"),
     "bronze_cast": _sql(["raw"], _BRONZE),
     "lake_roundtrip": _sql(["raw"], _BRONZE),
@@ -238,6 +286,17 @@ ORACLE: dict[str, str] = {
                (lead(v, 3) OVER (PARTITION BY linkid ORDER BY datetime))::FLOAT::DOUBLE AS target FROM grid"""),
     "sequences": _sql(_SAMPLES, _WINDOW_SCALARS),
     "sequences_fraction": _sql(_SAMPLES_FRACTION, _WINDOW_SCALARS),
+    "impute_measures": _sql(_SERIES5, f"SELECT linkid, datetime, {_each('{c}::FLOAT::DOUBLE AS {c}')} FROM series5"),
+    "sequences_channels": _sql(_WINDOWS5, f"""
+        SELECT linkid, end_time, CAST(length AS INTEGER) AS length, round(y, 3) AS y,
+               {_each("round(first_{c}, 3) AS first_{c}, round(last_{c}, 3) AS last_{c}, round(sum_{c}, 3) AS sum_{c}")},
+               end_time BETWEEN t0 AND t1 AS train, end_time BETWEEN v0 AND v1 AS validation
+        FROM windows5, bounds5
+        WHERE length = 36 AND filled = 5 * 36 AND (end_time BETWEEN t0 AND t1 OR end_time BETWEEN v0 AND v1)"""),
+    "fit_steps": _sql(_SAMPLES, """
+        SELECT CAST(unnest(range(8)) AS INTEGER) AS step, true AS finite, true AS falls, start_mae, train_samples, val_samples
+        FROM (SELECT round(avg(abs(last_z - y)) FILTER (validation), 4) AS start_mae,
+                     count(*) FILTER (train) AS train_samples, count(*) FILTER (validation) AS val_samples FROM samples)"""),
     "target_threshold": _sql([*_SAMPLES, "threshold"], """
         SELECT (SELECT count(*) FROM samples WHERE train) AS samples, round(thr, 4) AS threshold FROM threshold"""),
     "shuffle_samples": _sql(_SAMPLES, "SELECT linkid, end_time, round(y, 4) AS y FROM samples WHERE train"),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadspeed.functions import day_from_path, parse_mixed_ts, trailing_range
+from roadspeed.functions import day_from_path, is_finite, parse_mixed_ts, trailing_range
 from roadspeed.operators import (
     add_target,
     best_step,
@@ -17,10 +17,9 @@ from roadspeed.operators import (
     evaluate,
     expand_channels,
     filter_links,
-    fit_forecast,
     fit_scaler,
+    fit_steps,
     five_channels,
-    forecast,
     impute,
     impute_rolling,
     impute_seasonal,
@@ -34,7 +33,11 @@ from roadspeed.operators import (
     time_span,
     to_bronze,
 )
-from roadspeed.plans import LakeConfig, TrainConfig, TrainingSet, prepare_series, run_range, training_set
+from roadspeed.plans import (
+    LakeConfig, TrainConfig, TrainingSet, prepare_series, run_range, train_and_score, training_set,
+)
+from roadspeed.operators.gold import CHANNELS
+from roadspeed.operators.sequences import channel_values
 from roadspeed.operators.readings import BRONZE_SCHEMA, SILVER_SCHEMA
 from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold
 from roadspeed.session import materialise, scratch_path
@@ -43,6 +46,7 @@ from roadspeed.sources import day_range, landed_days, pending_days, read_days, r
 from roadspeed.streaming import EVENT_SCHEMA, event_values, file_events
 from workload.adapters import (
     dirty_readings,
+    channels_by_type,
     csv_lake,
     first_last_day,
     gold_by_type,
@@ -319,11 +323,33 @@ def _summary(sequences: DataFrame) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_summary(_training(spark, sf_dir).widened().sequences), 4)
+    return _plain(_summary(expand_channels(_training(spark, sf_dir).sequences)), 4)
 
 
 def sequences_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_summary(_training(spark, sf_dir, FRACTION_CONFIG).widened().sequences), 4)
+    return _plain(_summary(expand_channels(_training(spark, sf_dir, FRACTION_CONFIG).sequences)), 4)
+
+
+CHANNELS_CONFIG = TrainConfig(val_days=7, channels=CHANNELS)
+
+
+def imputed_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five different measures, each filled on its own."""
+    return _plain(impute(channels_by_type(spark, sf_dir), list(CHANNELS)))
+
+
+def sequences_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of five different measures; per channel the first and last value and a sum weighted by position."""
+    data = training_set(prepare_series(channels_by_type(spark, sf_dir), CHANNELS_CONFIG), CHANNELS_CONFIG)
+    scalars = []
+    for i, name in enumerate(CHANNELS):
+        values = channel_values(data.sequences, i).cast("array<double>")
+        weighted = F.transform(values, lambda z, at: z * (at + 1))
+        scalars += [
+            values[0].alias(f"first_{name}"), F.element_at(values, -1).alias(f"last_{name}"),
+            F.aggregate(weighted, F.lit(0.0), lambda a, b: a + b).alias(f"sum_{name}"),
+        ]
+    return _plain(data.sequences.select("linkid", "end_time", F.size("x").alias("length"), *scalars, "y", "train", "validation"), 3)
 
 
 def target_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,15 +377,29 @@ def eval_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forecast_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What can be known of an iterative fit beforehand: counts, and that it beats the last value where it was fitted."""
+    """Scores of the fit and of the last value on both sides; has no SQL, as the fit is iterative."""
     data = _training(spark, sf_dir)
-    model = fit_forecast(data.train)
-    scored = evaluate(forecast(model, data.validation), data.threshold)
-    fitted = evaluate(forecast(model, data.train), data.threshold).select(F.col("mae").alias("fit_mae"))
-    last = evaluate(persistence(data.train), data.threshold).select(F.col("mae").alias("last_mae"))
-    return scored.join(fitted).join(last).select(  # one row each
-        "n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fit_mae") < F.col("last_mae")).alias("better")
-    )
+    return train_and_score(data, DAYS_CONFIG)[1]
+
+
+def fit_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the metrics table of a fit says of each round.
+
+    Round 0 is the last value, so its error is known; of the others only the laws are: finite errors, and a best error
+    that never rises and is the lowest so far.
+    """
+    data = _training(spark, sf_dir)
+    fitted = fit_steps(data.store, data.fit_range, data.val_range, data.threshold, rounds=7, patience=None)
+    metrics = metrics_table(fitted.frame(spark), "run")
+    steps = metrics.groupBy("step").pivot("name", ["train_mae", "val_mae", "best"]).agg(F.first("value"))
+    in_order = Window.orderBy("step")  # a row for each round
+    lowest = F.min("val_mae").over(in_order)
+    start = F.first("val_mae").over(in_order)
+    return _plain(steps.select(
+        "step", (is_finite("train_mae") & is_finite("val_mae")).alias("finite"), (F.col("best") == lowest).alias("falls"),
+        start.alias("start_mae"), F.lit(data.train_samples).cast("bigint").alias("train_samples"),
+        F.lit(data.val_samples).cast("bigint").alias("val_samples"),
+    ), 4)
 
 
 def _daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,7 +418,7 @@ def lowest_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def day_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores per side after the whole run; of the fitted model only the counts can be known beforehand."""
+    """Scores per side after the whole run; SQL knows only the counts of the fitted model."""
     raw = raw_by_type(spark, sf_dir)
     first, last = first_last_day(raw)
     lake = LakeConfig(archives=zip_archives(raw), base=scratch_path(spark, "lake"), links=None)
@@ -453,11 +493,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "horizon_target": horizon_target,
     "sequences": sequences,
     "sequences_fraction": sequences_fraction,
+    "impute_measures": imputed_channels,
+    "sequences_channels": sequences_channels,
     "target_threshold": target_cut,
     "shuffle_samples": shuffled_samples,
     "eval_persistence": eval_persistence,
     "eval_seasonal_naive": eval_seasonal_naive,
     "forecast_eval": forecast_eval,
+    "fit_steps": fit_rounds,
     "metrics_long": metrics_long,
     "best_step": lowest_step,
     "day_run": day_run,
