@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadspeed.functions import floor_div, micros, minute_of_day, nan_to_null
-from roadspeed.operators.grid import complete_grid, timed
+from roadspeed.operators.grid import _BLOCK, chunked_slots, timed
 
 _DAY = micros("1 day")
 _FRAMES_PER_CHUNK = 64
 
 
+def _reach(span: int) -> tuple[int, int]:
+    """How far a frame (t - width/2, t + width/2] reaches back and ahead, in microseconds."""
+    return span - span // 2 - 1, span // 2
+
+
 def impute_rolling(
     df: DataFrame,
     cols: Iterable[str],
@@ -30,16 +35,16 @@ def impute_rolling(
     """
     cols = list(cols)
     span = micros(width)
-    half = span // 2
+    before, after = _reach(span)
     chunk = max(_DAY, _FRAMES_PER_CHUNK * span)
     us = F.col("_us")
     home = floor_div(us, chunk)
     spread = (
         timed(df, ts).dropna(subset=[key, ts])
         .withColumns({"_us": F.unix_micros(ts), **{c: nan_to_null(F.col(c)) for c in cols}})
-        .withColumn("_chunk", F.explode(F.sequence(floor_div(us - half, chunk), floor_div(us + half, chunk))))
+        .withColumn("_chunk", F.explode(F.sequence(floor_div(us - after, chunk), floor_div(us + before, chunk))))
     )
-    frame = Window.partitionBy(key, "_chunk").orderBy("_us").rangeBetween(half - span + 1, half)
+    frame = Window.partitionBy(key, "_chunk").orderBy("_us").rangeBetween(-before, after)
     return (
         spread.withColumns({f"_mean_{c}": F.avg(c).over(frame) for c in cols})
         .filter(F.col("_chunk") == home)
@@ -73,7 +78,18 @@ def impute(
     step: str | timedelta = "5 minutes",
     width: str | timedelta = "31 minutes",
 ) -> DataFrame:
-    """Complete grid, then both fills. Seasonal means include the values the moving mean filled in."""
-    cols = list(cols)
-    gridded = complete_grid(df, cols, key, ts, step)
-    return impute_seasonal(impute_rolling(gridded, cols, key, ts, width), cols, key, ts)
+    """Complete grid, then both fills. Seasonal means include the values the moving mean filled in.
+
+    The moving mean runs where the slots are made, as each chunk has copies of the readings around it. So the readings are
+    shuffled once, and the slots once for the seasonal mean.
+    """
+    cols, size, span = list(cols), micros(step), micros(width)
+    before, after = _reach(span)
+    slots = chunked_slots(df, cols, key, ts, size, max(_BLOCK * size, _FRAMES_PER_CHUNK * span), before, after)
+    frame = Window.partitionBy(key, "_chunk").orderBy("_us").rangeBetween(-before, after)
+    rolled = (
+        slots.withColumns({f"_mean_{c}": F.avg(c).over(frame) for c in cols})
+        .filter("_home")
+        .select(key, F.timestamp_micros("_us").alias(ts), *[F.coalesce(c, f"_mean_{c}").alias(c) for c in cols])
+    )
+    return impute_seasonal(rolled, cols, key, ts)

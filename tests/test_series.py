@@ -1,5 +1,6 @@
 """Grid and imputation against SQL and hand-made series, and on hot links."""
 
+import sys
 from datetime import timedelta
 
 import duckdb
@@ -15,6 +16,7 @@ from roadspeed.operators import complete_grid, dedupe_mean, five_channels, imput
 from roadspeed.operators import grid as grid_module
 
 V = ["self_mean"]
+impute_module = sys.modules["roadspeed.operators.impute"]  # the package has a function of this name
 
 
 def collected(df, col="self_mean"):
@@ -157,6 +159,40 @@ def test_imputation_keeps_known_values(series, values):
     assert all(v is None or v == g for v, g in zip(values, got))
 
 
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange " in line]
+
+
+def test_imputation_shuffles_readings_once_and_slots_once(series, monkeypatch):
+    monkeypatch.setattr(grid_module, "_TASK_SLOTS", 500)
+    df = series({"a": [1.0, None, 3.0] * 500, "b": [2.0]})
+    after, readings = exchanges(impute(df, V))
+    assert "hashpartitioning(linkid" in readings and "_chunk" in readings and "hashpartitioning(linkid" in after
+    assert len(exchanges(complete_grid(df, V))) == 1
+
+
+@pytest.mark.parametrize("block", [1, 2, 7])
+def test_chunks_without_readings_and_edges(spark, monkeypatch, block):
+    """Chunks of a few slots, most of them empty: the same result as with long ones."""
+    rows = [(k, t.isoformat(sep=" "), v) for k, t, v in random_rows(7, n=60, days=1)]
+    df = spark.createDataFrame(rows, "linkid string, datetime string, self_mean double")
+    want = complete_grid(df, V).orderBy("linkid", "datetime").collect()
+    filled = impute(df, V).orderBy("linkid", "datetime").collect()
+    monkeypatch.setattr(grid_module, "_BLOCK", block)
+    monkeypatch.setattr(impute_module, "_BLOCK", block)
+    monkeypatch.setattr(impute_module, "_FRAMES_PER_CHUNK", 1)
+    assert complete_grid(df, V).orderBy("linkid", "datetime").collect() == want
+    got = impute(df, V).orderBy("linkid", "datetime").collect()
+    assert [r[:2] for r in got] == [r[:2] for r in filled]
+    assert all(a == b or abs(a - b) < 1e-9 for a, b in ((x.self_mean, y.self_mean) for x, y in zip(got, filled)) if a is not None)
+    assert [r.self_mean is None for r in got] == [r.self_mean is None for r in filled]
+
+
+def test_grid_of_nothing(series):
+    empty = series({"a": [1.0]}).limit(0)
+    assert complete_grid(empty, V).count() == 0 and impute(empty, V).count() == 0
+
+
 def test_windows_hold_a_chunk_not_a_link(series):
     """The only partitioning of rows by link alone would be a hot task."""
     plan = impute_rolling(series({"a": [1.0]}), V)._jdf.queryExecution().executedPlan().toString()
