@@ -18,13 +18,17 @@ DEFAULT_LINKS = (
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Places of one lake. Without ``jdbc`` gold is a day-partitioned Parquet table."""
+    """Places of one lake. Without ``jdbc`` gold is a day-partitioned Parquet table.
+
+    With ``versioned`` bronze, silver and Parquet gold are tables of versioned days, so readers never see half a write.
+    """
 
     archives: str
     base: str
     links: tuple[str, ...] | None = DEFAULT_LINKS
     step: str = "5 minutes"
     encoding: str = "UTF-8"
+    versioned: bool = False
     drop_invalid_time: bool = True
     # A number fixes the files per day. None keeps the scan's splits (bronze) or lets Spark size them (silver).
     bronze_files_per_day: int | None = None

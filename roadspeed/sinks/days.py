@@ -40,6 +40,20 @@ def write_days(
     suits rows that come straight from a scan of day directories, where a task holds one or a few
     days anyway.
     """
+    rows, found = written(df, base, files_per_day, by, as_read, replace=True)
+    missing = sorted(set(days) - set(found))
+    for day in missing:
+        df.drop("date").limit(0).write.mode("overwrite").parquet(f"{base}/date={day}")
+    return WriteReport(rows, found, missing, sorted(absent))
+
+
+def written(
+    df: DataFrame, base: str, files_per_day: int | None, by: str | None, as_read: bool, replace: bool
+) -> tuple[int, list[str]]:
+    """Write day folders below ``base``, laid out as ``write_days`` says; the number of rows and the days found.
+
+    With ``replace`` the days found are replaced in place, else nothing may exist there.
+    """
     if as_read:
         laid_out = df
     elif files_per_day is None:
@@ -53,14 +67,8 @@ def write_days(
     # Counted while writing: no extra pass. Distinct days are bounded by the calendar.
     seen = Observation()
     counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set("date").alias("days"))
-    (
-        counted.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(base)
-    )
-    found = sorted(seen.get["days"])
-    missing = sorted(set(days) - set(found))
-    for day in missing:
-        df.drop("date").limit(0).write.mode("overwrite").parquet(f"{base}/date={day}")
-    return WriteReport(seen.get["rows"], found, missing, sorted(absent))
+    writer = counted.write.partitionBy("date")
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(base)
+    return seen.get["rows"], sorted(seen.get["days"])

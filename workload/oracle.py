@@ -208,6 +208,12 @@ ORACLE: dict[str, str] = {
         SELECT date, datetime, linkid,
                (CASE WHEN date = (SELECT min(date) FROM gold) THEN v + 1000 ELSE v END)::FLOAT::DOUBLE AS self_mean
         FROM gold"""),
+    "gold_snapshot": _sql(["raw", "gold"], """
+        , ends AS (SELECT min(date) AS first, max(date) AS last FROM gold)
+        SELECT date, datetime, linkid, (v + 1000)::FLOAT::DOUBLE AS self_mean, 1 AS snapshot FROM gold
+        UNION ALL
+        SELECT date, datetime, linkid, (CASE WHEN date = first THEN v + 1000 ELSE v END)::FLOAT::DOUBLE, 2
+        FROM gold, ends WHERE date <> last"""),
     "pending_days": _sql(["raw"], """
         SELECT strftime(d, '%Y%m%d') AS date
         FROM (SELECT unnest(generate_series(max(ts)::DATE - 364, max(ts)::DATE, INTERVAL '1 day')) AS d FROM raw)

@@ -44,6 +44,7 @@ from roadspeed.session import materialise, scratch_path
 from roadspeed.sinks import land_zip, metrics_table, write_days
 from roadspeed.sources import day_range, landed_days, pending_days, read_days, read_raw_csv, read_zip_members
 from roadspeed.streaming import EVENT_SCHEMA, event_values, file_events
+from roadspeed.versions import VersionedDays
 from workload.adapters import (
     dirty_readings,
     channels_by_type,
@@ -127,6 +128,17 @@ def gold_replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(read_days(spark, base, first, last, schema=gold.schema))
 
 
+def gold_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days hold old values; then all but the first are replaced at once and the last is emptied. Both snapshots."""
+    gold = gold_by_type(spark, sf_dir)
+    first, last = first_last_day(gold)
+    days = VersionedDays(spark, scratch_path(spark, "gold"))
+    days.write(gold.withColumn(VALUE, F.col(VALUE) + 1000))
+    days.write(gold.filter(~F.col("date").isin(first, last)), [last])
+    both = [days.read(first, last, gold.schema, n).withColumn("snapshot", F.lit(n)) for n in (1, 2)]
+    return _plain(both[0].unionByName(both[1]))
+
+
 def file_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = table(spark, sf_dir, "pages").select(
         day_from_path("url").alias("date"), F.col("url").alias("key"), F.octet_length("html").alias("size")
@@ -462,6 +474,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_conform": gold_conform,
     "gold_five_channels": gold_five_channels,
     "gold_replace_days": gold_replace_days,
+    "gold_snapshot": gold_snapshot,
     "pending_days": pending,
     "lake_roundtrip": lake_roundtrip,
     "file_events_json": file_events_json,
