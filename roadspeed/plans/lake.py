@@ -24,7 +24,8 @@ def _processed(spark: SparkSession, cfg: LakeConfig, zone: str, start: str, end:
     return there, sorted(set(days) - set(there))
 
 
-def _write(cfg: LakeConfig, zone: str, df: DataFrame, days: list[str], **how) -> WriteReport:
+def write_zone(cfg: LakeConfig, zone: str, df: DataFrame, days: list[str], **how) -> WriteReport:
+    """Replace days of bronze, silver or gold, in whichever form the lake keeps them."""
     if cfg.versioned:
         return VersionedDays(df.sparkSession, cfg.zone(zone)).write(df, days, **how)
     return write_days(df, cfg.zone(zone), days, **how)
@@ -42,7 +43,7 @@ def raw_to_bronze(spark: SparkSession, cfg: LakeConfig, start: str, end: str) ->
     raw = read_raw_csv(spark, cfg.zone("raw"), start, end, encoding=cfg.encoding)
     fixed = cfg.bronze_files_per_day
     days, absent = _processed(spark, cfg, "raw", start, end)
-    return _write(cfg, "bronze", to_bronze(raw), days, files_per_day=fixed, as_read=fixed is None, absent=absent)
+    return write_zone(cfg, "bronze", to_bronze(raw), days, files_per_day=fixed, as_read=fixed is None, absent=absent)
 
 
 def silver_rows(bronze: DataFrame, cfg: LakeConfig) -> DataFrame:
@@ -63,7 +64,7 @@ def silver_to_gold(spark: SparkSession, cfg: LakeConfig, start: str, end: str) -
     gold = conform_gold(zone_rows(spark, cfg, "silver", start, end))
     days, _ = _processed(spark, cfg, "silver", start, end)
     if cfg.jdbc is None:
-        _write(cfg, "gold", gold, days, as_read=True)
+        write_zone(cfg, "gold", gold, days, as_read=True)
     else:
         replace_days_jdbc(gold, cfg.jdbc, days)
 

@@ -92,8 +92,7 @@ class Scratch:
     def release(self) -> None:
         """Remove the tables; frames that read them fail from then on."""
         while self.paths:
-            place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
-            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            remove_path(self.spark, self.paths.pop())
 
     def size(self) -> int:
         """Bytes that the tables hold."""
@@ -112,6 +111,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return store.makeQualified(place).toString()
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path, or anything that fits a glob, exists."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -95,6 +95,24 @@ def csv_lake(raw: DataFrame, base: str | None = None) -> str:
     return base
 
 
+def csv_files(raw: DataFrame, base: str) -> None:
+    """The rows as one CSV file ``part-<file>.csv`` for each day and value of ``file``; files of that name are replaced.
+
+    Every task writes its own files whole, aside first, as a landing job does.
+    """
+    locate, columns = file_opener(), list(RAW_COLUMNS)
+
+    def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        store, folder = locate(f"{base}/date={key[0]}")
+        store.create_dir(folder, recursive=True)
+        with store.open_output_stream(f"{folder}/.part-{key[1]}") as out:
+            out.write(rows[columns].to_csv(index=False).encode())
+        store.move(f"{folder}/.part-{key[1]}", f"{folder}/part-{key[1]}.csv")
+        return pd.DataFrame({"rows": [len(rows)]})
+
+    raw.groupBy("date", "file").applyInPandas(write, "rows long").agg({"rows": "sum"}).collect()
+
+
 def zip_archives(raw: DataFrame) -> str:
     """Raw readings as archives ``<day>_<task>.zip``, each with one CSV file, in a new folder.
 

@@ -155,6 +155,8 @@ PARTS |= {
 _SERIES5 = ["raw", "gold5", "grid5", "rolled5", "series5"]
 _WINDOWS5 = [*_SERIES5, "sides5", "bounds5", "scaler5", "targets5", "placed5", "windows5"]
 
+_SILVER_ROWS = "SELECT datetime, linkid, v::FLOAT::DOUBLE AS self_mean, date FROM gold"
+
 _DAY_TOTALS = "SELECT date, count(*) AS rows, round(sum(value), 2) AS total FROM raw GROUP BY date"
 
 _DIRTY = """
@@ -183,6 +185,8 @@ ORACLE: dict[str, str] = {
         SELECT date, slot AS datetime, linkid, avg(value)::FLOAT::DOUBLE AS self_mean FROM ({_DIRTY}) GROUP BY ALL""",
     "gold_plan": f"""
         SELECT date, slot AS datetime, linkid, avg(value)::FLOAT::DOUBLE AS self_mean FROM ({_DIRTY}) GROUP BY ALL""",
+    "silver_delta": _sql(["raw", "gold"], _SILVER_ROWS),
+    "stream_slots": _sql(["raw", "gold"], _SILVER_ROWS),
     "day_run": _sql([*_SAMPLES, "threshold"], """
         , sides_of AS (
             SELECT 'train' AS side, y, last_z FROM samples WHERE train

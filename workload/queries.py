@@ -39,15 +39,18 @@ from roadspeed.plans import (
 from roadspeed.operators.gold import CHANNELS
 from roadspeed.operators.sequences import channel_values
 from roadspeed.operators.readings import BRONZE_SCHEMA, SILVER_SCHEMA
-from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold
+from roadspeed.plans.lake import bronze_to_silver, gold_rows, raw_to_bronze, silver_to_gold, zone_rows
+from roadspeed.plans.slots import refresh_silver
 from roadspeed.session import materialise, scratch_path
 from roadspeed.sinks import land_zip, metrics_table, write_days
 from roadspeed.sources import day_range, landed_days, pending_days, read_days, read_raw_csv, read_zip_members
 from roadspeed.streaming import EVENT_SCHEMA, event_values, file_events
+from roadspeed.streaming.slots import stream_slots
 from roadspeed.versions import VersionedDays
 from workload.adapters import (
     dirty_readings,
     channels_by_type,
+    csv_files,
     csv_lake,
     first_last_day,
     gold_by_type,
@@ -439,6 +442,37 @@ def day_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(scores.select("model", "side", "n", (F.col("tp") + F.col("fn")).alias("positives"), mae), 4)
 
 
+def _files_lake(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, DataFrame]:
+    """An empty lake, and the readings with the name of the file they lie in: three for each day."""
+    raw = raw_by_type(spark, sf_dir).withColumn("file", F.pmod(F.xxhash64("CREATHM", "PASNGSPED"), F.lit(3)))
+    return LakeConfig(archives="", base=scratch_path(spark, "lake"), links=None, versioned=True), raw
+
+
+def silver_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after one file of each day came late and another was corrected: updates of those files alone."""
+    cfg, raw = _files_lake(spark, sf_dir)
+    late, wrong = F.col("file") == 0, F.col("file") == 1
+    speed = F.col("PASNGSPED").cast("double")
+    days = first_last_day(raw)
+    csv_files(raw.filter(~late).withColumn("PASNGSPED", F.when(wrong, speed + 7).otherwise(speed).cast("string")), cfg.zone("raw"))
+    refresh_silver(spark, cfg)
+    csv_files(raw.filter(wrong), cfg.zone("raw"))
+    refresh_silver(spark, cfg)
+    csv_files(raw.filter(late), cfg.zone("raw"))
+    refresh_silver(spark, cfg)
+    return _plain(zone_rows(spark, cfg, "silver", *days))
+
+
+def slots_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from a stream over the files: what has landed, then what lands late."""
+    cfg, raw = _files_lake(spark, sf_dir)
+    days, checkpoint = first_last_day(raw), scratch_path(spark, "stream")
+    for part in (raw.filter("file > 0"), raw.filter("file = 0")):
+        csv_files(part, cfg.zone("raw"))
+        stream_slots(spark, cfg, checkpoint, files_per_batch=40).awaitTermination()
+    return _plain(zone_rows(spark, cfg, "silver", *days))
+
+
 def _planned(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, str, str]:
     """A lake whose zones were filled by the plans, and its days."""
     raw = dirty_readings(spark, sf_dir)
@@ -483,6 +517,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_plan": bronze_plan,
     "silver_plan": silver_plan,
     "gold_plan": gold_plan,
+    "silver_delta": silver_delta,
+    "stream_slots": slots_stream,
     "parse_mixed_ts": mixed_stamps,
     "day_from_path": file_days,
     "trailing_range": trailing_ranges,
