@@ -1,4 +1,5 @@
 from roadspeed.operators.consensus import FittedSteps, LinearForecast, fit_steps
+from roadspeed.operators.epochs import epoch_order, permuted
 from roadspeed.operators.evaluate import best_step, evaluate
 from roadspeed.operators.forecast import fit_forecast, forecast, persistence, seasonal_naive
 from roadspeed.operators.gold import conform_gold, five_channels
@@ -14,9 +15,9 @@ from roadspeed.operators.split import Split, restrict_links, row_counts, split_b
 
 __all__ = [
     "FittedSteps", "LinearForecast", "Split", "WindowStore", "add_target", "best_step", "build_sequences", "complete_grid", "conform_gold", "dedupe_mean",
-    "evaluate", "exact_percentile", "expand_channels", "filter_links", "fit_forecast", "fit_scaler", "fit_steps",
+    "epoch_order", "evaluate", "exact_percentile", "expand_channels", "filter_links", "fit_forecast", "fit_scaler", "fit_steps",
     "five_channels", "forecast", "impute", "impute_rolling", "impute_seasonal", "normalise_time",
-    "persistence", "restrict_links", "row_counts", "same_day", "seasonal_naive", "shuffle_samples",
+    "permuted", "persistence", "restrict_links", "row_counts", "same_day", "seasonal_naive", "shuffle_samples",
     "slot_mean", "split_by_time", "standardise", "target_threshold", "time_span", "to_bronze", "valid_stamp",
     "window_store",
 ]

@@ -310,6 +310,10 @@ ORACLE: dict[str, str] = {
     "target_threshold": _sql([*_SAMPLES, "threshold"], """
         SELECT (SELECT count(*) FROM samples WHERE train) AS samples, round(thr, 4) AS threshold FROM threshold"""),
     "shuffle_samples": _sql(_SAMPLES, "SELECT linkid, end_time, round(y, 4) AS y FROM samples WHERE train"),
+    "epoch_order": _sql(_SAMPLES, """
+        SELECT CAST(unnest(range(3)) AS INTEGER) AS epoch, n AS samples, n AS places, 0::BIGINT AS lowest, n - 1 AS highest,
+               CAST(n * (n - 1) // 2 AS BIGINT) AS total, CAST(ceil(n / 64) AS BIGINT) AS batches
+        FROM (SELECT count(*) AS n FROM samples WHERE train)"""),
     "eval_persistence": _sql([*_SAMPLES, "threshold"], """
         , guesses AS (SELECT y, last_z AS pred FROM samples WHERE validation)""" + _SCORES),
     "eval_seasonal_naive": _sql([*_SAMPLES, "threshold", "season"], """

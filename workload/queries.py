@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from roadspeed.operators import (
     complete_grid,
     conform_gold,
     dedupe_mean,
+    epoch_order,
     evaluate,
     expand_channels,
     filter_links,
@@ -377,6 +379,18 @@ def shuffled_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(shuffle_samples(data.train).select("linkid", "end_time", "y"), 4)
 
 
+def epoch_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three epochs: the places that the training windows take."""
+    data = _training(spark, sf_dir)
+    epochs = [
+        epoch_order(data.store, data.fit_range, epoch=e, values=False).withColumn("epoch", F.lit(e)) for e in range(3)
+    ]
+    return reduce(DataFrame.unionByName, epochs).groupBy("epoch").agg(
+        F.count("place").alias("samples"), F.count_distinct("place").alias("places"), F.min("place").alias("lowest"),
+        F.max("place").alias("highest"), F.sum("place").alias("total"), F.count_distinct("batch").alias("batches"),
+    )
+
+
 # -- evaluation ----------------------------------------------------------------------------------
 
 
@@ -546,6 +560,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sequences_channels": sequences_channels,
     "target_threshold": target_cut,
     "shuffle_samples": shuffled_samples,
+    "epoch_order": epoch_orders,
     "eval_persistence": eval_persistence,
     "eval_seasonal_naive": eval_seasonal_naive,
     "forecast_eval": forecast_eval,
