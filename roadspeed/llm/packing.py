@@ -23,8 +23,9 @@ rows. Very long texts become many pieces. Only the named columns are read, so ot
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import chain
 
@@ -38,53 +39,109 @@ from roadspeed.session import materialise
 
 _CLOSE = b" "  # no word: the closing id's place in the table of words
 _GAP, _PIECE = 0, 1
+_TASK_ROWS = 1 << 15  # pieces or slots that a task of a round handles
+
+
+# How the tokenizer cuts a word of printable ASCII characters in lower case.
+_PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_ASCII = re.compile(rb"[!-~]+")
+_GROUP = 200  # other words that are encoded as one text
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first looked up; ``new`` lists those that were."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordIds:
-    """Token ids of texts, word by word, with the ids of up to ``most`` words kept.
+    """Token ids of texts, word by word, with the ids of about ``most`` words kept.
 
-    For tokenizers that drop white space and whose tokens never reach across it, so a text's ids are those of its words
-    one after the other.
+    For the tokenizers' BPE with word ends that drops white space: no token reaches across it, so a text's ids are those of
+    its words one after the other. Words of printable ASCII characters are cut here and their parts go to the tokenizer's
+    model, which most words share; all others go through the whole tokenizer.
     """
 
-    def __init__(self, tokenizer: str, close_id: int, most: int = 1 << 19) -> None:
+    def __init__(self, tokenizer: str, close_id: int, most: int = 1 << 20) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer, self.close_id, self.most = Tokenizer.from_str(tokenizer), close_id, most
+        self.model = self.tokenizer.model
         self._clear()
 
     def _clear(self) -> None:
-        self.index = {_CLOSE: 0}
-        self.ids = np.array([self.close_id], np.uint32)
-        self.first, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.index) > self.most:
-            self._clear()
-        words = [w for w in dict.fromkeys(words) if w not in self.index]
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        lists = [x.ids for x in coded]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(lists), np.uint32, sizes.sum())])
+        self.numbers = _Numbers()
+        self.parts: dict[bytes, tuple[int, ...]] = {}
+        self.ids, self.n_ids = np.zeros(1 << 16, np.uint32), 0
+        self.first, self.size, self.n_words = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32), 0
+        self._add([[self.close_id]])
+        self.numbers[_CLOSE] = 0
+
+    def _add(self, lists: list[Sequence[int]]) -> None:
+        """Ids of the next words by number."""
+        sizes = np.fromiter(map(len, lists), np.int32, len(lists))
+        total, last = int(sizes.sum()), self.n_words + len(lists)
+        while self.n_ids + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while last > len(self.first):
+            self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
+        self.ids[self.n_ids : self.n_ids + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
+        self.first[self.n_words : last] = self.n_ids + np.cumsum(sizes) - sizes
+        self.size[self.n_words : last] = sizes
+        self.n_ids, self.n_words = self.n_ids + total, last
+
+    def _part(self, part: bytes) -> tuple[int, ...]:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.parts[part] = tuple([token.id for token in self.model.tokenize(part.decode())])
+        return ids
+
+    def _plain(self, word: bytes) -> tuple[int, ...]:
+        word = word.lower()
+        if word.isalpha():
+            return self._part(word)
+        return tuple(chain.from_iterable(map(self._part, _PARTS.findall(word))))
+
+    def _others(self, words: list[bytes]) -> Iterator[list[int]]:
+        texts = [word.decode() for word in words]
+        groups = [texts[i : i + _GROUP] for i in range(0, len(texts), _GROUP)]
+        coded = self.tokenizer.encode_batch([" ".join(group) for group in groups], add_special_tokens=False)
+        for group, text in zip(groups, coded):
+            sizes = np.fromiter(map(len, group), np.int64, len(group)) + 1
+            ids = text.ids
+            begins = np.fromiter((begin for begin, _ in text.offsets), np.int64, len(ids))
+            cuts = np.searchsorted(begins, np.cumsum(sizes)).tolist()
+            yield from (ids[a:b] for a, b in zip([0, *cuts], cuts))
+
+    def _learn(self) -> None:
+        """The ids of the words that were numbered since."""
+        new, self.numbers.new = self.numbers.new, []
+        plain = [_ASCII.fullmatch(w) is not None and b"<|" not in w for w in new]  # special tokens begin with these
+        others = self._others([w for w, simple in zip(new, plain) if not simple])
+        self._add([self._plain(w) if simple else next(others) for w, simple in zip(new, plain)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each with the closing id; where each text ends)."""
+        if self.n_words > self.most:
+            self._clear()
         words = [text.split() for text in texts]  # at ASCII white space
-        seen = set(chain.from_iterable(words))
-        if not seen <= self.index.keys():
-            self._learn(list(seen))
         for own in words:
             own.append(_CLOSE)
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        places = np.fromiter(map(self.index.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
+        places = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int32, counts.sum())
+        self._learn()
         sizes = self.size[places]
-        ends = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.first[places] - ends + sizes, sizes) + np.arange(sizes.sum())]
-        return ids, ends[np.cumsum(counts) - 1]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = np.arange(ends[-1] if len(ends) else 0)
+        at += np.repeat(self.first[places] - ends + sizes, sizes)
+        return self.ids[at], ends[np.cumsum(counts) - 1]
 
 
 _LOADED: dict[tuple[int, int], WordIds] = {}
@@ -166,10 +223,16 @@ def _order(waiting: np.ndarray, slots: np.ndarray, bucket: int) -> list[tuple[in
     return out
 
 
+def _sized(rows: DataFrame, n: int) -> DataFrame:
+    """As many tasks as ``n`` rows are worth, however many partitions a shuffle has."""
+    return rows.coalesce(max(1, -(-n // _TASK_ROWS)))
+
+
 def _counts(rows: DataFrame, sizes: int) -> tuple[np.ndarray, np.ndarray]:
     """Pieces and gaps by size, a bounded number of rows."""
     out = np.zeros((2, sizes), np.int64)
-    for kind, size, n in rows.groupBy("kind", "size").count().collect():
+    by_size = rows.groupBy("kind", "size").count()
+    for kind, size, n in _sized(by_size, 2 * sizes).collect():
         out[kind, size] = n
     return out[_PIECE], out[_GAP]
 
@@ -222,14 +285,18 @@ def best_fit(pieces: DataFrame, key: str, length: str = "length", capacity: int
             slots_by[size - (n - 1) * longest] += rooms_by[size]
             slots_by[longest] += (n - 1) * rooms_by[size]
 
-        ranked = materialise(_ranked(state.union(slots), _order(pieces_by, slots_by, bucket)), "pack-ranked")
+        rows = int(pieces_by.sum() + slots_by.sum())
+        ranked = _ranked(state.union(slots), _order(pieces_by, slots_by, bucket))
+        ranked = materialise(_sized(ranked, rows), "pack-ranked")
         after = Window.partitionBy("level").orderBy(F.desc("size"), "kind")
         partner = F.when(F.lead("kind").over(after) == _PIECE, F.struct(F.lead("key").over(after), F.lead("size").over(after)))
         swept = ranked.filter("level > 0").withColumn("partner", partner.cast("struct<key:bigint,size:int>"))
-        swept = materialise(swept.filter(F.col("kind") == _GAP).select("key", "size", "partner"), "pack-swept")
+        swept = swept.filter(F.col("kind") == _GAP).select("key", "size", "partner")
+        swept = materialise(_sized(swept, rows), "pack-swept")
         placed.append(swept.filter("partner IS NOT NULL").select(F.col("partner.key").alias(key), F.col("key").alias("sequence_id")))
         left = F.sum(F.col("size") - F.coalesce("partner.size", F.lit(0))).cast("int")
-        rooms = materialise(swept.groupBy("key").agg(left.alias("size")), "pack-rooms")
+        rooms = swept.groupBy("key").agg(left.alias("size"))
+        rooms = materialise(_sized(rooms, int(slots_by.sum())), "pack-rooms")
         waiting = ranked.filter((F.col("kind") == _PIECE) & (F.col("level") <= 0)).select("key", "size")
     if not placed:
         return spark.createDataFrame([], f"`{key}` bigint, sequence_id bigint")
