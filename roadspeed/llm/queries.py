@@ -43,7 +43,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("repeated"),
+    )
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
