@@ -310,6 +310,14 @@ ORACLE: dict[str, str] = {
     "target_threshold": _sql([*_SAMPLES, "threshold"], """
         SELECT (SELECT count(*) FROM samples WHERE train) AS samples, round(thr, 4) AS threshold FROM threshold"""),
     "shuffle_samples": _sql(_SAMPLES, "SELECT linkid, end_time, round(y, 4) AS y FROM samples WHERE train"),
+    "trailing_moments": _sql(["raw", "gold"], """
+        , days AS (SELECT DISTINCT linkid, datetime::DATE AS day FROM gold)
+        SELECT d.linkid, strftime(d.day, '%Y%m%d') AS day, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS sd
+        FROM days d JOIN gold g ON g.linkid = d.linkid AND g.datetime::DATE BETWEEN d.day - 6 AND d.day GROUP BY ALL"""),
+    "trailing_threshold": _sql(["raw", "gold"], """
+        , days AS (SELECT DISTINCT datetime::DATE AS day FROM gold WHERE v IS NOT NULL)
+        SELECT strftime(d.day, '%Y%m%d') AS day, count(v) AS n, round(quantile_cont(v, 0.25), 6) AS threshold
+        FROM days d JOIN gold g ON g.datetime::DATE BETWEEN d.day - 6 AND d.day GROUP BY ALL"""),
     "epoch_order": _sql(_SAMPLES, """
         SELECT CAST(unnest(range(3)) AS INTEGER) AS epoch, n AS samples, n AS places, 0::BIGINT AS lowest, n - 1 AS highest,
                CAST(n * (n - 1) // 2 AS BIGINT) AS total, CAST(ceil(n / 64) AS BIGINT) AS batches

@@ -35,6 +35,9 @@ from roadspeed.operators import (
     time_span,
     to_bronze,
 )
+from roadspeed.operators.trailing import (
+    daily_moments, daily_sketches, deviation, trailing_moments, trailing_percentiles,
+)
 from roadspeed.plans import (
     LakeConfig, TrainConfig, TrainingSet, prepare_series, run_range, train_and_score, training_set,
 )
@@ -265,6 +268,22 @@ def full_imputation_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- split, scale, windows -----------------------------------------------------------------------
 
 
+def moments_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation of each link over the seven days up to every day."""
+    moments = trailing_moments(daily_moments(gold_by_type(spark, sf_dir), [VALUE]), [VALUE], days=7)
+    return moments.select(
+        "linkid", F.date_format("day", "yyyyMMdd").alias("day"), F.col(f"{VALUE}_n").alias("n"), F.round(f"{VALUE}_mean", 6).alias("mean"),
+        F.round(deviation(VALUE), 6).alias("sd"),
+    )
+
+
+def threshold_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower quartile over the seven days up to every day, by one sketch per day."""
+    gold = materialise(gold_by_type(spark, sf_dir), "gold")
+    found = trailing_percentiles(gold, materialise(daily_sketches(gold, VALUE), "sketches"), 25.0, VALUE, days=7)
+    return found.select(F.date_format("day", "yyyyMMdd").alias("day"), "n", F.round("percentile", 6).alias("threshold"))
+
+
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(time_span(price_series(spark, sf_dir), "linkid"))
 
@@ -559,6 +578,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_measures": imputed_channels,
     "sequences_channels": sequences_channels,
     "target_threshold": target_cut,
+    "trailing_moments": moments_of_days,
+    "trailing_threshold": threshold_of_days,
     "shuffle_samples": shuffled_samples,
     "epoch_order": epoch_orders,
     "eval_persistence": eval_persistence,
