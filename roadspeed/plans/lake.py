@@ -55,7 +55,7 @@ def bronze_to_silver(spark: SparkSession, cfg: LakeConfig, start: str, end: str)
     bronze = zone_rows(spark, cfg, "bronze", start, end)
     by = "datetime" if cfg.silver_files_per_day else None
     days, absent = _processed(spark, cfg, "bronze", start, end)
-    return _write(
+    return write_zone(
         cfg, "silver", silver_rows(bronze, cfg), days, files_per_day=cfg.silver_files_per_day, by=by, absent=absent
     )
 
