@@ -29,6 +29,8 @@ _FORM = np.full(256, 32, np.uint8)
 _FORM[48:58], _FORM[97:123], _FORM[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
 _FORM[65:91] = np.arange(97, 123)
 _MATCHES = 1 << 22  # matches of pieces that are counted at a time
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+_ROWS = 2048  # ranges whose distances are computed side by side
 
 
 def normal_form(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,9 +46,41 @@ def normal_form(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return low[at], np.searchsorted(at, bounds), at
 
 
+def _codes(data: np.ndarray, length: int) -> np.ndarray:
+    """A number for each string of this length: the string itself up to eight bytes, a 64-bit hash beyond."""
+    n = max(0, len(data) - length + 1)
+    if length > 8:
+        at = np.arange(n)
+        return range_hash(prefix_hash(data), at, at + length)
+    codes = np.zeros(n, np.uint64)
+    for j in range(length):
+        codes = (codes << np.uint64(8)) | data[j : j + n]
+    return codes
+
+
+class Strings:
+    """A sorted set of codes that are looked up many at a time."""
+
+    def __init__(self, distinct: np.ndarray) -> None:
+        bits = max(16, int(16 * len(distinct)).bit_length())
+        self.distinct, self.shift = distinct, np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, bool)
+        self.maybe[self._slot(distinct)] = True
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes * _SPREAD) >> self.shift
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which codes are in the set, their places in it)."""
+        at = np.flatnonzero(self.maybe[self._slot(codes)]) if len(self.distinct) else np.empty(0, np.int64)
+        place = np.minimum(np.searchsorted(self.distinct, codes[at]), max(0, len(self.distinct) - 1))
+        known = self.distinct[place] == codes[at] if len(at) else np.empty(0, bool)
+        return at[known], place[known]
+
+
 @dataclass
 class Items:
-    """A block of items, prepared for search; the derived arrays are made where they are used."""
+    """A block of items, prepared for search; what is derived from them is made where it is used."""
 
     numbers: list[int]
     texts: list[bytes]
@@ -75,41 +109,36 @@ class Items:
         return length, need
 
     @cached_property
-    def grams(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(piece length, sorted hashes, item, offset, which upper 22 bits occur) for each length of pieces."""
+    def grams(self) -> list[tuple[int, "Strings", np.ndarray, np.ndarray, np.ndarray]]:
+        """(piece length, the distinct pieces, where the entries of each begin, item and offset of each entry)."""
         data = np.frombuffer(b"".join(self.texts), np.uint8)
-        begins, prefix, out = np.cumsum(self.sizes) - self.sizes, prefix_hash(data), []
+        begins, out = np.cumsum(self.sizes) - self.sizes, []
         for length in np.unique(self.pieces[0][self.pieces[0] > 0]):
             mine = np.flatnonzero(self.pieces[0] == length)
             n = self.sizes[mine] // length
             item = np.repeat(mine, n)
             offset = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * length
-            at = begins[item] + offset
-            hashes = range_hash(prefix, at, at + length)
-            order = np.argsort(hashes, kind="stable")
-            maybe = np.zeros(1 << 22, bool)
-            maybe[(hashes >> np.uint64(42)).astype(np.int64)] = True
-            out.append((int(length), hashes[order], item[order], offset[order], maybe))
+            codes = _codes(data, int(length))[begins[item] + offset]
+            order = np.argsort(codes, kind="stable")
+            distinct, first = np.unique(codes[order], return_index=True)
+            out.append((int(length), Strings(distinct), np.append(first, len(codes)), item[order], offset[order]))
         return out
 
-    def intact(self, i: int, text: bytes) -> bool:
-        """False if an item has fewer intact pieces of five, four or three characters in the text than the bound leaves."""
-        for need, cut in self._cuts(i):
-            there = {text[j : j + len(cut[0])] for j in range(len(text) - len(cut[0]) + 1)} if cut else ()
-            if sum(map(there.__contains__, cut)) < need:
-                return False
-        return True
-
-    def _cuts(self, i: int) -> list[tuple[int, list[bytes]]]:
-        if i not in self.cuts:
-            pattern, size = self.texts[i], len(self.texts[i])
-            self.cuts[i] = [
-                (size // n - self.edits(i), [pattern[j : j + n] for j in range(0, size - n + 1, n)]) for n in (5, 4, 3)
-            ]
-        return self.cuts[i]
+    def cut(self, n: int) -> tuple["Strings", np.ndarray, np.ndarray, np.ndarray]:
+        """(distinct pieces of ``n`` characters, the pieces of all items as places among them, where each item's begin, how
+        many of them the bound leaves)."""
+        if n not in self.cuts:
+            data = np.frombuffer(b"".join(self.texts), np.uint8)
+            count = self.sizes // n
+            begins = np.cumsum(count) - count
+            offset = (np.arange(count.sum()) - np.repeat(begins, count)) * n
+            at = np.repeat(np.cumsum(self.sizes) - self.sizes, count) + offset
+            distinct, places = np.unique(_codes(data, n)[at], return_inverse=True)
+            self.cuts[n] = Strings(distinct), places.astype(np.int64), np.append(begins, count.sum()), count - self.bounds
+        return self.cuts[n]
 
     @cached_property
-    def cuts(self) -> dict[int, list[tuple[int, list[bytes]]]]:
+    def cuts(self) -> dict[int, tuple]:
         return {}
 
     @cached_property
@@ -140,26 +169,73 @@ def best_end(pattern: bytes, text: bytes) -> tuple[int, int]:
     return best
 
 
-def may_match(pattern: bytes, text: bytes, most: int, q: int = 5) -> bool:
-    """False if the edit distance of the pattern to all parts of the text is surely above ``most``: an edit spoils
-    at most ``q`` of the pattern's strings of ``q`` characters."""
-    need = len(pattern) - q + 1 - q * most
-    if need <= 0:
-        return True
-    there = {text[i : i + q] for i in range(len(text) - q + 1)}
-    return sum(pattern[i : i + q] in there for i in range(len(pattern) - q + 1)) >= need
+def least_edits(patterns: list[bytes], which: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """The least edit distance of a pattern (by its number) to any part of each text, many texts side by side.
+
+    The bit-parallel method of ``best_end``, with a column of 64-bit words for each text.
+    """
+    out = np.zeros(len(texts), np.int64)
+    words = np.array([-(-len(p) // 64) for p in patterns], np.int64)[which] if len(which) else which
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    # Patterns of up to 8, 64, ... words go together: calls cost more than words that are not used.
+    kind = np.ceil(np.log2(np.maximum(words, 1)) / 3).astype(np.int64)
+    kind[words <= 8] = 1
+    order = np.lexsort((lengths, kind))
+    for one in np.unique(kind).tolist():
+        same = order[kind[order] == one]
+        for at in range(0, len(same), _ROWS):
+            rows = same[at : at + _ROWS]
+            used, own = np.unique(which[rows], return_inverse=True)
+            some = [patterns[i] for i in used.tolist()]
+            out[rows] = _side_by_side(some, own, [texts[i] for i in rows.tolist()], int(words[rows].max()))
+    return out
 
 
-def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int]]:
-    """(text, item, first, last): where a passage of the item may start in the text. Starts are counted in bands of
+def _side_by_side(patterns: list[bytes], own: np.ndarray, texts: list[bytes], n_words: int) -> np.ndarray:
+    one, top = np.uint64(1), np.uint64(63)
+    masks = np.zeros((len(patterns), 256, n_words), np.uint64)
+    for i, pattern in enumerate(patterns):
+        at = np.arange(len(pattern))
+        chars = np.frombuffer(pattern, np.uint8)
+        np.bitwise_or.at(masks, (i, chars, at >> 6), one << (at & 63).astype(np.uint64))
+    size = np.array([len(p) for p in patterns], np.int64)[own]
+    word, bit = (size - 1) >> 6, ((size - 1) & 63).astype(np.uint64)
+    lengths, every = np.array([len(t) for t in texts], np.int64), np.arange(len(texts))
+    steps = int(lengths.max())
+    chars = np.frombuffer(b"".join(t.ljust(steps, b"\0") for t in texts), np.uint8).reshape(len(texts), steps).T.copy()
+    up, down = np.full((n_words, len(texts)), ~np.uint64(0)), np.zeros((n_words, len(texts)), np.uint64)
+    total, now, best = np.empty_like(up), size.copy(), size.copy()
+    for step in range(steps):
+        match = masks[own, chars[step]].T
+        start, carry = match & up, None
+        for w in range(n_words):
+            np.add(start[w], up[w], out=total[w])
+            over = total[w] < start[w]
+            if carry is not None:
+                total[w] += carry
+                over |= total[w] < carry
+            carry = over.astype(np.uint64)
+        cross = (total ^ up) | match
+        rise, fall = down | ~(cross | up), up & cross
+        now += ((rise[word, every] >> bit) & one).astype(np.int64)
+        now -= ((fall[word, every] >> bit) & one).astype(np.int64)
+        for x in (rise, fall):
+            above = x[:-1] >> top
+            x <<= one
+            x[1:] |= above
+        vertical = match | down
+        up, down = fall | ~(vertical | rise), rise & vertical
+        np.minimum(best, now, out=best, where=step < lengths)
+    return best
+
+
+def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> np.ndarray:
+    """Rows (text, item, first, last): where a passage of the item may start in the text. Starts are counted in bands of
     ``k + 1`` places, and two bands side by side hold all intact pieces of a passage."""
-    prefix = prefix_hash(data)
-    for length, hashes, item_of, offset_of, maybe in items.grams:
-        at = np.arange(max(0, len(data) - length + 1))
-        own = range_hash(prefix, at, at + length)
-        at = np.flatnonzero(maybe[(own >> np.uint64(42)).astype(np.int64)])
-        lo, hi = np.searchsorted(hashes, own[at], "left"), np.searchsorted(hashes, own[at], "right")
-        at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+    out = [np.empty((0, 4), np.int64)]
+    for length, strings, begins, item_of, offset_of in items.grams:
+        at, place = strings.find(_codes(data, length))
+        lo, n = begins[place], (begins[1:] - begins[:-1])[place]
         ends, i = np.cumsum(n), 0
         counted: list[tuple[np.ndarray, np.ndarray]] = []
         while i < len(at):
@@ -182,18 +258,44 @@ def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> Iterator[t
         alone = np.append(True, ~beside[:-1])
         item = bands >> 32
         need = items.pieces[1][item]
-        enough = np.flatnonzero((both >= need) | (alone & (found >= need)))
-        for k in enough:
-            i = int(item[k])
-            width = items.edits(i) + 1
-            first = int(bands[k] & 0xFFFFFFFF) * width - (1 << 24)
-            last = first + 2 * width - 1
-            most, size = width - 1, int(items.sizes[i])
-            text = max(0, int(np.searchsorted(bounds, first - most, "right")) - 1)
-            while text < len(bounds) - 1 and bounds[text] <= last + most:
-                if bounds[text + 1] - bounds[text] >= size - most:
-                    yield text, i, first, last
-                text += 1
+        enough = (both >= need) | (alone & (found >= need))
+        item, bands = item[enough], bands[enough]
+        most, size = items.bounds[item], items.sizes[item]
+        first = (bands & 0xFFFFFFFF) * (most + 1) - (1 << 24)
+        last = first + 2 * most + 1
+        low = np.maximum(np.searchsorted(bounds, first - most, "right") - 1, 0)
+        high = np.minimum(np.searchsorted(bounds, last + most, "right"), len(bounds) - 1)
+        n = np.maximum(high - low, 0)
+        which = np.repeat(np.arange(len(item)), n)
+        text = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        fits = bounds[text + 1] - bounds[text] >= (size - most)[which]
+        out.append(np.stack([text[fits], *(x[which[fits]] for x in (item, first, last))], 1))
+    return np.concatenate(out)
+
+
+def _enough(data: np.ndarray, items: Items, size: int, item: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which ranges of the data hold as many pieces of ``size`` characters of their item as the bound leaves."""
+    strings, places, begins, need = items.cut(size)
+    cover = np.zeros(len(data) + 1, np.int32)
+    np.add.at(cover, a, 1)
+    np.add.at(cover, np.maximum(b - size + 1, a), -1)
+    inside = np.flatnonzero(np.cumsum(cover)[: max(0, len(data) - size + 1)])
+    at, place = strings.find(_codes(data, size)[inside])
+    at = inside[at]
+    keys = np.sort((place << 32) | at)
+    n = (begins[1:] - begins[:-1])[item]
+    held, ends, i = np.zeros(len(item), np.int64), np.cumsum(n), 0
+    while i < len(item):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - n[i] + _MATCHES, "right")))
+        which = np.repeat(np.arange(i, j), n[i:j])
+        own = np.repeat(begins[item[i:j]] - np.cumsum(n[i:j]) + n[i:j], n[i:j]) + np.arange(n[i:j].sum())
+        piece, last = places[own] << 32, b[which] - size
+        found = np.searchsorted(keys, piece | a[which])
+        inside = (last >= a[which]) & (found < len(keys))
+        inside[inside] = keys[found[inside]] <= (piece | np.maximum(last, 0))[inside]
+        held[i:j] = np.bincount(which - i, inside, j - i)
+        i = j
+    return held >= need[item]
 
 
 def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[list[tuple[int, int, int, int]]]:
@@ -209,20 +311,26 @@ def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[li
         return (at == edges[text] or raw[at - 1] == 32) and (end == edges[text + 1] or raw[end : end + 1] == b" ")
 
     sure: dict[tuple[int, int], int] = {}
-    for text, i, first, last in _proposals(form, edges, items):
+    found = _proposals(form, edges, items)
+    text, item, first, last = found.T
+    begin = np.maximum(edges[text], first - items.bounds[item])
+    stop = np.minimum(edges[text + 1], last + items.sizes[item] + items.bounds[item])
+    ranges = np.stack([text, item, last, begin, stop], 1)
+    for size in (4, 3):
+        ranges = ranges[_enough(form, items, size, ranges[:, 1], ranges[:, 3], ranges[:, 4])]
+    listed = ranges.tolist()
+    least = least_edits(items.texts, ranges[:, 1], [raw[a:b] for *_, a, b in listed])
+    for (text, i, last, a, b), edits in zip(listed, least.tolist()):
+        if edits > items.edits(i):
+            continue
         pattern, most = items.texts[i], items.edits(i)
         if last < sure.get((text, i), -1) - most:
             continue  # inside a hit of the same item
-        a, b = max(int(edges[text]), first - most), min(int(edges[text + 1]), last + len(pattern) + most)
         at = raw.find(pattern, a, b)
         if at >= 0:
             a, edits, end = at, 0, len(pattern)
         else:
-            if not items.intact(i, raw[a:b]) or not may_match(pattern, raw[a:b], most):
-                continue
             edits, end = best_end(pattern, raw[a:b])
-            if edits > most:
-                continue
             back = best_end(pattern[::-1], raw[a : a + end][::-1])[1]
             a, end = a + end - back, back
         if a < sure.get((text, i), -1) or len(pattern) < items.q and not (edits and clear(text, a, a + end)):

@@ -171,7 +171,16 @@ def test_verification_is_exact():
         p, t = (bytes(rng.choices(b"abc", k=rng.randint(a, 70))) for a in (1, 0))
         edits, end = edit_distance_anywhere(p, t)
         assert dc.best_end(p, t) == (edits, end)
-        assert dc.may_match(p, t, edits)
+
+
+def test_distances_side_by_side():
+    rng = random.Random(4)
+    sizes = (1, 5, 63, 64, 65, 128, 200, 513, 600)
+    patterns = [bytes(rng.choices(b"abc", k=rng.choice(sizes))) for _ in range(40)]
+    which = np.array([rng.randrange(40) for _ in range(300)])
+    texts = [bytes(rng.choices(b"abc", k=rng.randint(0, 300))) for _ in which]
+    assert dc.least_edits(patterns, which, texts).tolist() == [dc.best_end(patterns[i], t)[0] for i, t in zip(which, texts)]
+    assert dc.least_edits(patterns, which[:0], []).tolist() == []
 
 
 def damaged(text, n, rng):
