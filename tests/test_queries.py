@@ -9,6 +9,7 @@ from workload.queries import QUERIES
 
 SF = ROOT / "sf0.001"
 NO_SQL = {"forecast_eval"}  # tests/test_consensus.py checks it
+LARGER = {"sequences_channels": ROOT / "sf0.01"}  # one of its channels has too many gaps in the smallest tables
 
 
 def test_every_query_has_sql_and_is_registered():
@@ -18,9 +19,10 @@ def test_every_query_has_sql_and_is_registered():
 
 @pytest.mark.parametrize("name", ORACLE)
 def test_query(spark, name):
-    got = QUERIES[name](spark, str(SF)).toPandas()
+    sf = LARGER.get(name, SF)
+    got = QUERIES[name](spark, str(sf)).toPandas()
     assert len(got)
-    assert difference(got, oracle(SF, ORACLE[name])) is None
+    assert difference(got, oracle(sf, ORACLE[name])) is None
 
 
 def test_entry(spark):
