@@ -11,6 +11,7 @@ OLD_NAMES = {"LINKID": "linkid", "DATETIME_5MIN": "datetime", "datetime_5min": "
 # Channel order of the training input.
 CHANNELS = ("t2_mean", "t1_mean", "self_mean", "f1_mean", "f2_mean")
 
+# The columns that lead.
 _LEAD = ("date", "datetime", "linkid")
 
 
