@@ -3,8 +3,8 @@
 Texts and items are compared in a normal form: letters A-Z folded, other ASCII runs that are no letters or digits as one
 space. Each item is cut into pieces of a length taken from its own length and edit bound: ``k`` edits leave all but ``k``
 of the pieces intact, shifted by at most ``k`` against each other. So places where enough pieces of an item stand in line
-are proposed, which loses no passage, and verified by the edit distance of the item to the text around, at most
-``max_edits`` of the item's length.
+are proposed, filtered by pieces of other lengths in the same way, which loses no passage, and verified by the edit distance
+of the item to the text around, at most ``max_edits`` of the item's length.
 
 Null and empty texts and items match nothing. The passage of an item shorter than ``q`` must stand as whole words. Equal
 rows get equal results; an empty benchmark gives no hits. Only the named columns are read. Items go to the tasks in
@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadspeed.llm.texts import pieces, prefix_hash, range_hash
+from roadspeed.llm.texts import PIECE, pieces, prefix_hash, range_hash
 
 HITS = "array<struct<item:bigint,start:bigint,end:bigint,edits:int>>"
 _FORM = np.full(256, 32, np.uint8)
 _FORM[48:58], _FORM[97:123], _FORM[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
 _FORM[65:91] = np.arange(97, 123)
 _MATCHES = 1 << 22  # matches of pieces that are counted at a time
+_BANDS = 1 << 19  # bands of starts that are counted at a time, of texts that are not longer
+_BEFORE = 1 << 24  # items are shorter
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 2048  # ranges whose distances are computed side by side
 
@@ -46,36 +48,52 @@ def normal_form(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return low[at], np.searchsorted(at, bounds), at
 
 
-def _codes(data: np.ndarray, length: int) -> np.ndarray:
-    """A number for each string of this length: the string itself up to eight bytes, a 64-bit hash beyond."""
+def _codes(data: np.ndarray, length: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A number for each string of this length, or for those that start ``at`` some places: the string itself up to eight
+    bytes, a 64-bit hash beyond."""
     n = max(0, len(data) - length + 1)
     if length > 8:
-        at = np.arange(n)
+        at = np.arange(n) if at is None else at
         return range_hash(prefix_hash(data), at, at + length)
-    codes = np.zeros(n, np.uint64)
+    codes = np.zeros(n if at is None else len(at), np.uint64)
     for j in range(length):
-        codes = (codes << np.uint64(8)) | data[j : j + n]
+        codes <<= np.uint64(8)
+        codes |= data[j : j + n] if at is None else data[at + j]
     return codes
 
 
 class Strings:
-    """A sorted set of codes that are looked up many at a time."""
+    """A set of distinct codes that are looked up many at a time."""
 
     def __init__(self, distinct: np.ndarray) -> None:
         bits = max(16, int(16 * len(distinct)).bit_length())
-        self.distinct, self.shift = distinct, np.uint64(64 - bits)
+        self.shift = np.uint64(64 - bits)
+        slot = self._slot(distinct)
+        self.order = np.argsort(slot, kind="stable")
+        self.codes, slot = distinct[self.order], slot[self.order]
+        self.more = np.append(slot[1:] == slot[:-1], False)  # the next code has the same slot
+        self.first = np.zeros(1 << bits, np.int32)
+        self.first[slot[::-1]] = np.arange(len(slot), dtype=np.int32)[::-1]
         self.maybe = np.zeros(1 << bits, bool)
-        self.maybe[self._slot(distinct)] = True
+        self.maybe[slot] = True
 
     def _slot(self, codes: np.ndarray) -> np.ndarray:
-        return (codes * _SPREAD) >> self.shift
+        return ((codes * _SPREAD) >> self.shift).view(np.int64)
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which codes are in the set, their places in it)."""
-        at = np.flatnonzero(self.maybe[self._slot(codes)]) if len(self.distinct) else np.empty(0, np.int64)
-        place = np.minimum(np.searchsorted(self.distinct, codes[at]), max(0, len(self.distinct) - 1))
-        known = self.distinct[place] == codes[at] if len(at) else np.empty(0, bool)
-        return at[known], place[known]
+        if not len(self.order):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        slot = self._slot(codes)
+        at = np.flatnonzero(self.maybe[slot])
+        place, codes = self.first[slot[at]], codes[at]
+        known = self.codes[place] == codes
+        rest = np.flatnonzero(~known & self.more[place])
+        while len(rest):
+            place[rest] += 1
+            known[rest] = self.codes[place[rest]] == codes[rest]
+            rest = rest[~known[rest] & self.more[place[rest]]]
+        return at[known], self.order[place[known]]
 
 
 @dataclass
@@ -229,73 +247,145 @@ def _side_by_side(patterns: list[bytes], own: np.ndarray, texts: list[bytes], n_
     return best
 
 
-def _proposals(data: np.ndarray, bounds: np.ndarray, items: Items) -> np.ndarray:
-    """Rows (text, item, first, last): where a passage of the item may start in the text. Starts are counted in bands of
-    ``k + 1`` places, and two bands side by side hold all intact pieces of a passage."""
-    out = [np.empty((0, 4), np.int64)]
-    for length, strings, begins, item_of, offset_of in items.grams:
-        at, place = strings.find(_codes(data, length))
-        lo, n = begins[place], (begins[1:] - begins[:-1])[place]
-        ends, i = np.cumsum(n), 0
-        counted: list[tuple[np.ndarray, np.ndarray]] = []
-        while i < len(at):
-            j = max(i + 1, int(np.searchsorted(ends, ends[i] - n[i] + _MATCHES, "right")))
-            part = n[i:j]
-            flat = np.repeat(lo[i:j] - np.cumsum(part) + part, part) + np.arange(part.sum())
-            item = item_of[flat]
-            start = np.repeat(at[i:j], part) - offset_of[flat] + (1 << 24)  # items are shorter
-            counted.append(np.unique((item << 32) | start // (items.bounds[item] + 1), return_counts=True))
-            i = j
-        if not counted:
+def _runs(lows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each of ``lows`` on, ``n`` of them."""
+    return np.repeat(lows - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _flat(lows: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(i, j, row after i of each number, ``_runs``) for some rows i..j at a time."""
+    ends, i = np.cumsum(n), 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - n[i] + _MATCHES, "right")))
+        row = np.repeat(np.arange(j - i), n[i:j])
+        yield i, j, row, (lows[i:j] - (ends[i:j] - n[i:j] - (ends[i] - n[i])))[row] + np.arange(len(row))
+        i = j
+
+
+def _bands(items: Items, gram: tuple, at: np.ndarray, place: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, ...]:
+    """(item, band) of each two bands side by side that hold enough starts, for pieces found in begin..end.
+
+    Starts are counted in an array with a place for each band where they are dense, by sorting where they are sparse.
+    """
+    _, _, begins, item_of, offset_of = gram
+    used, wide = np.unique(item_of), items.bounds + 1
+    least = (begin - items.sizes[used] + _BEFORE) // wide[used]
+    count = (end + _BEFORE) // wide[used] - least + 2  # the last one stays empty
+    ends = np.cumsum(count)
+    base = np.zeros(len(wide), np.int64)
+    base[used] = ends - count - least
+    n = (begins[1:] - begins[:-1])[place]
+    dense = ends[-1] <= min(8 * _BANDS, 8 * n.sum())
+    # (start + 1/2) / wide is further from whole numbers than the errors of doubles.
+    scale = (1.0 / wide)[item_of]
+    move = (_BEFORE + 0.5 - offset_of) * scale + (base[item_of] if dense else 0)
+    held, counted = None, []
+    for i, j, row, entry in _flat(begins[place], n):
+        bands = at[i:j].astype(np.float64)[row]
+        bands *= scale[entry]
+        bands += move[entry]
+        bands = bands.astype(np.int64)
+        if dense:
+            more = np.bincount(bands, minlength=ends[-1])
+            held = more if held is None else held + more
+        else:
+            counted.append(np.unique(bands + base[item_of][entry], return_counts=True))
+    # A band counts with the one after it; where it is empty, that one counts by itself.
+    if dense:
+        half = np.flatnonzero(held >= np.repeat((items.pieces[1][used] + 1) // 2, count))
+        bands = np.union1d(half, half - 1)
+        bands = bands[held[bands] > 0]
+        both = held[bands] + held[np.minimum(bands + 1, len(held) - 1)]
+    else:
+        bands, back = np.unique(np.concatenate([x for x, _ in counted]), return_inverse=True)
+        found = np.bincount(back, np.concatenate([x for _, x in counted]))
+        both = found + np.where(np.append(bands[1:] == bands[:-1] + 1, False), np.append(found[1:], 0), 0)
+    item = used[np.searchsorted(ends, bands, "right")]
+    enough = both >= items.pieces[1][item]
+    return item[enough], (bands - base[item])[enough]
+
+
+def _proposals(data: np.ndarray, bounds: np.ndarray, origin: int, items: Items) -> np.ndarray:
+    """Rows (text, item, last, a, b): a passage of the item may lie in a..b of the text and start up to ``last``. Starts are
+    counted in bands of ``k + 1`` places from ``origin``, and two bands side by side hold all intact pieces of a passage."""
+    out = [np.empty((0, 5), np.int64)]
+    for gram in items.grams:
+        at, place = gram[1].find(_codes(data, gram[0]))
+        if not len(at):
             continue
-        bands, found = counted[0]
-        if len(counted) > 1:
-            bands, back = np.unique(np.concatenate([x for x, _ in counted]), return_inverse=True)
-            found = np.bincount(back, np.concatenate([x for _, x in counted]))
-        # a band counts with the one after it, and with the one before it where that one is empty
-        beside = np.append(bands[1:] == bands[:-1] + 1, False)
-        both = found + np.where(beside, np.append(found[1:], 0), 0)
-        alone = np.append(True, ~beside[:-1])
-        item = bands >> 32
-        need = items.pieces[1][item]
-        enough = (both >= need) | (alone & (found >= need))
-        item, bands = item[enough], bands[enough]
+        item, bands = _bands(items, gram, at + origin, place, origin, origin + len(data))
         most, size = items.bounds[item], items.sizes[item]
-        first = (bands & 0xFFFFFFFF) * (most + 1) - (1 << 24)
+        first = bands * (most + 1) - _BEFORE - origin
         last = first + 2 * most + 1
         low = np.maximum(np.searchsorted(bounds, first - most, "right") - 1, 0)
         high = np.minimum(np.searchsorted(bounds, last + most, "right"), len(bounds) - 1)
         n = np.maximum(high - low, 0)
-        which = np.repeat(np.arange(len(item)), n)
-        text = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        which, text = np.repeat(np.arange(len(item)), n), _runs(low, n)
         fits = bounds[text + 1] - bounds[text] >= (size - most)[which]
-        out.append(np.stack([text[fits], *(x[which[fits]] for x in (item, first, last))], 1))
+        text, which = text[fits], which[fits]
+        begin = np.maximum(bounds[text], (first - most)[which])
+        end = np.minimum(bounds[text + 1], (last + size + most)[which])
+        out.append(np.stack([text, item[which], last[which], begin, end], 1))
     return np.concatenate(out)
 
 
-def _enough(data: np.ndarray, items: Items, size: int, item: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which ranges of the data hold as many pieces of ``size`` characters of their item as the bound leaves."""
+def _in_line(data: np.ndarray, items: Items, size: int, item: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of the ranges that hold as many pieces of ``size`` characters of their item as the bound leaves, shifted
+    against each other by no more than the bound. A range with very many of them is not looked at closer."""
     strings, places, begins, need = items.cut(size)
     cover = np.zeros(len(data) + 1, np.int32)
     np.add.at(cover, a, 1)
     np.add.at(cover, np.maximum(b - size + 1, a), -1)
     inside = np.flatnonzero(np.cumsum(cover)[: max(0, len(data) - size + 1)])
-    at, place = strings.find(_codes(data, size)[inside])
-    at = inside[at]
-    keys = np.sort((place << 32) | at)
-    n = (begins[1:] - begins[:-1])[item]
-    held, ends, i = np.zeros(len(item), np.int64), np.cumsum(n), 0
-    while i < len(item):
-        j = max(i + 1, int(np.searchsorted(ends, ends[i] - n[i] + _MATCHES, "right")))
-        which = np.repeat(np.arange(i, j), n[i:j])
-        own = np.repeat(begins[item[i:j]] - np.cumsum(n[i:j]) + n[i:j], n[i:j]) + np.arange(n[i:j].sum())
-        piece, last = places[own] << 32, b[which] - size
-        found = np.searchsorted(keys, piece | a[which])
-        inside = (last >= a[which]) & (found < len(keys))
-        inside[inside] = keys[found[inside]] <= (piece | np.maximum(last, 0))[inside]
-        held[i:j] = np.bincount(which - i, inside, j - i)
+    at, place = strings.find(_codes(data, size, inside))
+    keys = np.append(np.sort((place << 32) | inside[at]), np.iinfo(np.int64).max)
+    most, count = b - size, (begins[1:] - begins[:-1])[item]
+
+    def of(ranges: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first key of the piece in the range, the last that one may be) of ranges and numbers of pieces."""
+        return np.searchsorted(keys, piece | a[ranges]), np.where(most >= a, most, -1)[ranges] | piece
+
+    # Ranges of one item follow each other: they are looked up piece by piece, so that look-ups are near each other.
+    group = np.flatnonzero(np.append(True, item[1:] != item[:-1])[: len(item)])
+    size_of = np.diff(np.append(group, len(item)))
+    piece = places[_runs(begins[item[group]], count[group])] << 32
+    held = np.zeros(len(item), np.int64)
+    for i, j, row, ranges in _flat(np.repeat(group, count[group]), np.repeat(size_of, count[group])):
+        found, end = of(ranges, piece[i:j][row])
+        held += np.bincount(ranges[keys[found] <= end], minlength=len(item))
+    kept = np.flatnonzero(held >= need[item])
+    out = np.zeros(len(item), bool)
+    for i, j, row, number in _flat(begins[item[kept]], count[kept]):
+        mine = kept[i:j]
+        found, end = of(mine[row], places[number] << 32)
+        n = np.maximum(np.searchsorted(keys, end, "right") - found, 0)
+        many = np.bincount(row, n, j - i) > 4 * count[mine]
+        out[mine[many | (need[item[mine]] < 1)]] = True
+        n[many[row]] = 0
+        which = np.repeat(np.arange(len(n)), n)
+        offset = (number - begins[item[mine]][row]) * size
+        starts = np.sort((row[which] << 40) + (keys[_runs(found, n)] & 0xFFFFFFFF) - offset[which] + (1 << 32))
+        own = mine[starts >> 40]
+        far = np.arange(len(starts)) + np.maximum(need[item[own]], 1) - 1
+        near = np.flatnonzero(far < len(starts))
+        near = near[starts[far[near]] - starts[near] <= items.bounds[item[own[near]]]]
+        out[own[near]] = True
+    return np.flatnonzero(out)
+
+
+def _ranges(data: np.ndarray, bounds: np.ndarray, items: Items) -> np.ndarray:
+    """Rows (text, item, last, a, b) as of ``_proposals`` that may hold a passage, by the pieces in them."""
+    out, share, i = [np.empty((0, 5), np.int64)], _BANDS / (1.0 / (items.bounds + 1)).sum(), 0
+    while i < len(bounds) - 1:
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + share, "right")) - 1)
+        origin = int(bounds[i])
+        part = data[origin : bounds[j]]
+        rows = _proposals(part, bounds[i : j + 1] - origin, origin, items)
+        for size in (4, 3):
+            rows = rows[_in_line(part, items, size, *rows[:, [1, 3, 4]].T)]
+        out.append(rows + np.array([i, 0, origin, origin, origin]))
         i = j
-    return held >= need[item]
+    return np.concatenate(out)
 
 
 def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[list[tuple[int, int, int, int]]]:
@@ -311,13 +401,7 @@ def hits_of_piece(data: np.ndarray, bounds: np.ndarray, items: Items) -> list[li
         return (at == edges[text] or raw[at - 1] == 32) and (end == edges[text + 1] or raw[end : end + 1] == b" ")
 
     sure: dict[tuple[int, int], int] = {}
-    found = _proposals(form, edges, items)
-    text, item, first, last = found.T
-    begin = np.maximum(edges[text], first - items.bounds[item])
-    stop = np.minimum(edges[text + 1], last + items.sizes[item] + items.bounds[item])
-    ranges = np.stack([text, item, last, begin, stop], 1)
-    for size in (4, 3):
-        ranges = ranges[_enough(form, items, size, ranges[:, 1], ranges[:, 3], ranges[:, 4])]
+    ranges = _ranges(form, edges, items)
     listed = ranges.tolist()
     least = least_edits(items.texts, ranges[:, 1], [raw[a:b] for *_, a, b in listed])
     for (text, i, last, a, b), edits in zip(listed, least.tolist()):
@@ -384,7 +468,7 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for first, data, bounds in pieces(batch.column(1)):
+                for first, data, bounds in pieces(batch.column(1), 4 * PIECE):
                     hits = hits_of_piece(data, bounds, shared.value)
                     held = [[dict(zip(("item", "start", "end", "edits"), h)) for h in sorted(x)] for x in hits]
                     ids = batch.column(0).slice(first, len(bounds) - 1)

@@ -226,6 +226,57 @@ def test_no_passage_within_the_bound_is_lost(spread):
         assert [h[0] for h in found[0]] == [i] and found[0][0][3] <= most, len(item)
 
 
+def pieces_of_words(rng, words, items, me=0.15):
+    """Texts of random words, some with a damaged item, as one array with bounds."""
+    texts = []
+    for _ in range(30):
+        item = rng.choice(items).decode()
+        inner = damaged(item, rng.randint(0, int(me * len(item)) + 2), rng) if rng.random() < 0.7 else ""
+        texts.append(" ".join([*rng.choices(words, k=rng.randint(0, 60)), inner, *rng.choices(words, k=rng.randint(0, 60))]).encode())
+    return texts, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
+@pytest.mark.parametrize("bands", [1 << 19, 500, 1])
+def test_items_found_are_those_of_brute_force(monkeypatch, bands):
+    monkeypatch.setattr(dc, "_BANDS", bands)  # dense counts, texts in several shares, sparse counts
+    rng = random.Random(bands)
+    words = ["abc", "xya", "ca", "bxzyca", "zz", "caab"]
+    for me in (0.15, 0.05, 0.3):
+        items = list({" ".join(rng.choices(words, k=k)).encode() for k in (3, 4, 5, 8, 12, 20, 30)})
+        items = [x for x in items if len(x) >= 12]
+        texts, data, bounds = pieces_of_words(rng, words, items, me)
+        found = dc.hits_of_piece(data, bounds, dc.Items(list(range(len(items))), items, 12, me))
+        for text, hits in zip(texts, found):
+            one = np.frombuffer(text, np.uint8)
+            form = dc.normal_form(one, np.array([0, len(one)]))[0].tobytes()
+            least = [edit_distance_anywhere(x, form)[0] for x in items]
+            bound = [int(me * len(x)) if max(len(x) // n - int(me * len(x)) for n in range(1, 13)) > 0 else -1 for x in items]
+            assert {h[0] for h in hits} == {i for i, k in enumerate(least) if k <= bound[i]}
+
+
+def test_few_places_without_a_passage_are_compared():
+    rng = random.Random(3)
+    parts = "tion ing the er an st ou ha re in thea on es nd at".split()
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(600)]
+    items = [" ".join(rng.choices(words, k=rng.randint(12, 50))).encode() for _ in range(200)]
+    texts = [" ".join(rng.choices(words, k=400)).encode() for _ in range(40)]
+    texts[7] += b" " + items[5]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    items = dc.Items(list(range(200)), items, 12, 0.15)
+    form, edges, _ = dc.normal_form(data, bounds)
+    ranges = dc._ranges(form, edges, items)
+    assert (7, 5) in set(map(tuple, ranges[:, :2].tolist()))
+    assert len(ranges) < len(dc._proposals(form, edges, 0, items)) / 10
+
+
+@pytest.mark.parametrize("codes", [[], [7], [3, 9, 1 << 40, (1 << 63) + 5], list(range(5000))])
+def test_codes_are_found_where_slots_are_shared(codes):
+    strings = dc.Strings(np.array(codes, np.uint64))
+    asked = np.array([*codes, 6000, 1 << 50], np.uint64)
+    at, place = strings.find(asked)
+    assert at.tolist() == list(range(len(codes))) == place.tolist()
+
+
 def test_clean_documents_have_no_leak(spark, odd):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     items = [r.text for r in bench.collect()]
